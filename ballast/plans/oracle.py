@@ -592,4 +592,45 @@ def statements() -> dict[str, str]:
             True,
             FILLS,
         ),
+        "stream_fills": _with(
+            ("messages",),
+            """SELECT CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol, CAST(SUM(k) AS BIGINT) AS qty,
+                      MAX(ts) AS last_updated
+               FROM messages WHERE topic = 'fills.v1' AND NOT broken GROUP BY 1, 2""",
+        ),
+        "stream_late": _with(
+            ("messages",),
+            """SELECT CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol, CAST(SUM(k) AS BIGINT) AS qty
+               FROM messages WHERE topic = 'fills.v1' AND NOT broken GROUP BY 1, 2""",
+        ),
+        "stream_prices": _with(
+            ("messages",),
+            """SELECT event_type AS symbol, ARG_MAX(value, (ts, "offset")) AS price, MAX(ts) AS last_updated
+               FROM messages WHERE topic = 'prices.v1' AND NOT mistyped GROUP BY 1""",
+        ),
+        "stream_dedup": _with(
+            ("messages",),
+            """SELECT CAST("offset" AS VARCHAR) AS fill_id, CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol,
+                      k AS qty, ts FROM messages WHERE topic = 'fills.v1' AND NOT broken""",
+        ),
+        "stream_state": _with(
+            (*PRICES, "betas", "positions", "last_price"),
+            """SELECT 'position' AS kind, CAST(account_id AS VARCHAR) AS account_id, CAST(symbol AS VARCHAR) AS symbol,
+                      CAST(qty AS DOUBLE) AS qty, CAST(NULL AS DOUBLE) AS val FROM positions
+               UNION ALL SELECT 'price', '', CAST(symbol AS VARCHAR), NULL, price FROM last_price
+               UNION ALL SELECT 'beta', '', CAST(symbol AS VARCHAR), NULL, beta FROM betas""",
+        ),
+        "margin_json": _with(
+            FLAT, f"SELECT CAST(account_id AS VARCHAR) AS account_id, * EXCLUDE (account_id) FROM (SELECT {MARGIN} FROM margin_flat)"
+        ),
+        "stress_json": _with(
+            (*STRESS_FLAT, "grid_moves", "grid"),
+            f"""SELECT CAST(account_id AS VARCHAR) AS account_id, CAST(underwater AS VARCHAR) AS underwater,
+                       * EXCLUDE (account_id, underwater)
+                FROM (SELECT {STRESS}, CAST(NULL AS DOUBLE) AS portfolio_pnl FROM stress_flat
+                      UNION ALL SELECT account_id, scenario, scenario_type, NULL, NULL, NULL, NULL, ROUND(portfolio_pnl, 8)
+                      FROM grid)""",
+        ),
+        "stream_ladder": _ladder(f"SELECT {ACTION} FROM actions"),
+        "stream_ladder_combined": _ladder(f"SELECT {ACTION} FROM actions", True),
     }

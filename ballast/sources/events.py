@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ballast.params import DEFAULT, TOPIC_FILLS, TOPIC_PRICES, TOPIC_BETAS
 from ballast.schemas import BY_TOPIC
 
-MESSAGE = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP_NTZ"
+MESSAGE = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP"
 CORRUPT = "_corrupt"
 
 # what a usable message of a topic must carry
@@ -42,7 +42,7 @@ def read_messages(spark: SparkSession, options: dict[str, str], streaming: bool
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             "offset",
-            F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+            "timestamp",
         )
     )
 
@@ -169,6 +169,6 @@ def replay_messages(events: DataFrame) -> DataFrame:
             F.when(lane < 5, account).otherwise(symbol).alias("key"),
             value.alias("value"),
             F.col("event_id").alias("offset"),
-            F.col("ts").alias("timestamp"),
+            F.col("ts").cast("timestamp").alias("timestamp"),
         )
     )

@@ -91,16 +91,16 @@ def quotes_with_list_price(spark: SparkSession, root: str) -> DataFrame:
     return project_prices(table(spark, root, "lineitem"), table(spark, root, "part"))
 
 
+def project_betas(parts: DataFrame) -> DataFrame:
+    return parts.filter(F.col("p_partkey") % F.lit(17) != 0).select(
+        F.col("p_partkey").alias("symbol"),
+        (F.lit(0.5) + (F.col("p_size") % F.lit(16)).cast("double") / F.lit(10)).alias("beta"),
+    )
+
+
 def betas(spark: SparkSession, root: str) -> DataFrame:
     """One beta per symbol; every 17th symbol has none."""
-    return (
-        table(spark, root, "part")
-        .filter(F.col("p_partkey") % F.lit(17) != 0)
-        .select(
-            F.col("p_partkey").alias("symbol"),
-            (F.lit(0.5) + (F.col("p_size") % F.lit(16)).cast("double") / F.lit(10)).alias("beta"),
-        )
-    )
+    return project_betas(table(spark, root, "part"))
 
 
 def project_cash(customers: DataFrame, priced_fills: DataFrame) -> DataFrame:

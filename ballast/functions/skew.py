@@ -29,9 +29,9 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Does Catalyst's size estimate of ``df`` lie under the session's broadcast threshold?"""
     spark = df.sparkSession
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
-    if limit <= 0:
+    if threshold.startswith("-"):
         return False
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= limit
 
@@ -52,7 +52,9 @@ def lookup_join(
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(right):
         return left.join(right, on, how)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(scale.salts)).cast("int"))
+    # COALESCE tells Catalyst the salt is never NULL: no extra filter, so equal branches keep sharing exchanges
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(scale.salts)).cast("int"), F.lit(0))
+    salted_left = left.withColumn("_salt", salt)
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(scale.salts - 1))))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
@@ -114,12 +116,18 @@ def carry_rows(
 
 
 def carry_total(
-    df: DataFrame, keys: Sequence[str], amounts: Sequence[str], segment: Column, hot: DataFrame
+    df: DataFrame,
+    keys: Sequence[str],
+    amounts: Sequence[str],
+    segment: Column,
+    hot: DataFrame,
+    is_hot: Column | None = None,
 ) -> DataFrame:
     """Segment ``df``; each segment is preceded by one row holding the earlier segments' totals.
 
     Serves running sums. Columns other than keys and amounts are NULL in the
-    CARRIED rows.
+    CARRIED rows. ``is_hot`` tells the rows of hot keys where ``df`` itself
+    knows; it must agree with ``hot``.
     """
     per_segment = (
         _hot_only(df, keys, segment, hot).groupBy(*keys, SEGMENT).agg(*[F.sum(a).alias(a) for a in amounts])
@@ -130,8 +138,12 @@ def carry_total(
         .filter(F.col(amounts[0]).isNotNull())
         .withColumn(CARRIED, F.lit(True))
     )
+    if is_hot is None:
+        main = split_hot(df, keys, segment, hot)
+    else:
+        main = df.withColumn(SEGMENT, F.when(is_hot, segment).otherwise(F.lit(0)).cast("bigint"))
     return (
-        split_hot(df, keys, segment, hot)
+        main
         .withColumn(CARRIED, F.lit(False))
         .unionByName(carried, allowMissingColumns=True)
     )

@@ -16,12 +16,14 @@ def liquidation_selection(
     """Whole long positions, highest beta first, until the buffered deficiency is covered.
 
     Ties in beta go by symbol. A short position is not sold: it would lower
-    the proceeds.
+    the proceeds. ``margin`` counts the positions of each account, which tells
+    the accounts to split.
     """
     owed = margin.filter(F.col("excess") < 0).select(
         "account_id",
         (-F.col("excess")).alias("deficiency"),
         (-F.col("excess") * F.lit(params.liquidation_buffer)).alias("target"),
+        "positions",
     )
     longs = valued.filter(F.col("qty") > 0).select(
         "account_id", "symbol", "qty", "beta", F.col("market_value").alias("estimated_proceeds")
@@ -29,15 +31,11 @@ def liquidation_selection(
     candidates = lookup_join(longs, owed, "account_id", spread=["symbol"], how="inner", scale=scale).withColumn(
         "line", F.lit(1)
     )
-    hot = (
-        valued.groupBy("account_id")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > F.lit(scale.hot_rows))
-        .select("account_id")
-    )
+    too_many = F.col("positions") > F.lit(scale.hot_rows)
+    hot = owed.filter(too_many).select("account_id")
     numeric = isinstance(valued.schema["symbol"].dataType, T.NumericType)
     segment = F.floor(F.col("beta") * F.lit(-1000)) * F.lit(2**24) + symbol_block(F.col("symbol"), numeric)
-    rows = carry_total(candidates, ["account_id"], ["estimated_proceeds", "line"], segment, hot)
+    rows = carry_total(candidates, ["account_id"], ["estimated_proceeds", "line"], segment, hot, too_many)
     before = segment_window(["account_id"], [F.col("beta").desc(), F.col("symbol")]).rowsBetween(
         Window.unboundedPreceding, -1
     )

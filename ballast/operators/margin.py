@@ -13,6 +13,7 @@ def account_totals(valued: DataFrame) -> DataFrame:
     return valued.groupBy("account_id").agg(
         F.sum("market_value").alias("total_mv"),
         F.sum("beta_weighted_value").alias("beta_weighted_exposure"),
+        F.count(F.lit(1)).alias("positions"),
     )
 
 

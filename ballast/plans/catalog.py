@@ -62,7 +62,7 @@ MARGIN_SUMS = ("total_mv", "beta_weighted_exposure", "cash", "equity", "maintena
 
 
 def _margin_report(df):
-    return _rounded(_rounded(df, *MARGIN_SUMS), "excess_pct", places=6)
+    return _rounded(_rounded(df.select("account_id", *MARGIN_SUMS, "excess_pct"), *MARGIN_SUMS), "excess_pct", places=6)
 
 
 # sources -------------------------------------------------------------------

@@ -45,8 +45,12 @@ def _with_part(lines: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def project_fills(lines: DataFrame, orders: DataFrame, parts: DataFrame | None = None) -> DataFrame:
-    """account_id, symbol, qty, ts, seq and, when ``parts`` is given, price. Batch or stream."""
-    traded = _with_order(lines, orders)
+    """account_id, symbol, qty, ts, seq and, when ``parts`` is given, price. Batch or stream.
+
+    A fill must name account and symbol, as on the wire. Stating it here also
+    keeps the filters of all branches of a plan alike, so they share exchanges.
+    """
+    traded = _with_order(lines.filter(F.col("l_partkey").isNotNull()), orders.filter(F.col("o_custkey").isNotNull()))
     columns = [
         "account_id",
         F.col("l_partkey").alias("symbol"),

@@ -2,9 +2,9 @@
 
 Two tools:
 
-* ``lookup_join`` attaches a one-row-per-key side. A side that Catalyst itself
-  sizes below the broadcast threshold is left to a broadcast; otherwise every
-  key is spread over ``salts`` pieces.
+* ``lookup_join`` attaches a one-row-per-key side. A side whose size, as
+  Catalyst estimates it, lies under the session's broadcast threshold is
+  broadcast; otherwise every key is spread over ``salts`` pieces.
 * ``split_hot`` cuts a key with too many rows into ordered segments, and
   ``carry_rows`` / ``carry_total`` / ``carry_last`` put in front of each segment
   what a window there needs to know of the earlier ones. A window partitioned
@@ -51,7 +51,7 @@ def lookup_join(
     """
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(right):
-        return left.join(right, on, how)
+        return left.join(F.broadcast(right), on, how)
     # COALESCE tells Catalyst the salt is never NULL: no extra filter, so equal branches keep sharing exchanges
     salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(scale.salts)).cast("int"), F.lit(0))
     salted_left = left.withColumn("_salt", salt)

@@ -140,9 +140,7 @@ def trace_call(
         .join(recent, "account_id", "left")
         .join(opening, ["account_id", "symbol"], "left")
     )
-    # calls of accounts that never traded have no symbol to price
-    priced = as_of(traced.filter(F.col("symbol").isNotNull()), prices, "price", "price_in_force", hot=hot, scale=scale)
-    return priced.unionByName(traced.filter(F.col("symbol").isNull()), allowMissingColumns=True)
+    return as_of(traced, prices, "price", "price_in_force", hot=hot, scale=scale)
 
 
 def end_to_end_latency(actions: DataFrame, fills: DataFrame, scale: Scale = SCALE) -> DataFrame:

@@ -44,7 +44,7 @@ def lookup_join(
     how: str = "left",
     scale: Scale = SCALE,
 ) -> DataFrame:
-    """Join ``left`` to the one-row-per-key ``right`` (left or inner).
+    """Join ``left`` to the one-row-per-key ``right`` (left, inner or left_semi).
 
     ``spread`` names left columns that differ within a key; their hash picks
     the salt, so a re-run of a lost task places its rows as before.
@@ -53,9 +53,10 @@ def lookup_join(
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
     # COALESCE tells Catalyst the salt is never NULL: no extra filter, so equal branches keep sharing exchanges
-    salt = F.coalesce(F.pmod(F.xxhash64(*spread), F.lit(scale.salts)).cast("int"), F.lit(0))
+    names = ", ".join(f"`{c}`" for c in spread)
+    salt = F.expr(f"coalesce(CAST(pmod(xxhash64({names}), {scale.salts}) AS INT), 0)")
     salted_left = left.withColumn("_salt", salt)
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(scale.salts - 1))))
+    salted_right = right.withColumn("_salt", F.expr(f"explode(sequence(0, {scale.salts - 1}))"))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -175,8 +176,9 @@ def carry_last(
     )
 
 
-def day_segment(ts: str = "ts") -> Column:
-    return F.unix_date(F.to_date(F.col(ts))).cast("bigint")
+def time_segment(ts: str = "ts", minutes: int = 15) -> Column:
+    """Number of the quarter hour: years of a hot key's rows fall into tens of thousands of segments."""
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(minutes * 60_000_000)).cast("bigint")
 
 
 def symbol_block(symbol: Column, numeric: bool) -> Column:

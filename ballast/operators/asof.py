@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballast.functions.skew import CARRIED, SEGMENT, carry_last, day_segment, hot_keys, segment_window
+from ballast.functions.skew import CARRIED, SEGMENT, carry_last, hot_keys, segment_window, time_segment
 from ballast.params import SCALE, Scale
 
 
@@ -46,7 +46,7 @@ def as_of(
     )
     hot = hot_keys(line, [key], scale) if hot is None else hot
     order = ["ts", "_turn", "_tick_order"]
-    rows = carry_last(line, [key], order, "_value", day_segment(), hot)
+    rows = carry_last(line, [key], order, "_value", time_segment(), hot)
     # events without a key match nothing; keep them from piling up in one task
     alone = F.xxhash64(*events.columns)
     rows = rows.withColumn(SEGMENT, F.when(F.col(key).isNull(), alone).otherwise(F.col(SEGMENT)))

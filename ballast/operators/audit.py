@@ -101,17 +101,20 @@ def call_notifications(actions: DataFrame, params: RiskParams = DEFAULT) -> Data
 
 
 def last_fill_before(calls: DataFrame, fills: DataFrame, scale: Scale = SCALE) -> DataFrame:
-    """Per call (one per account) the account's last fill at or before it.
+    """Per call (one per account) the last fill at or before it, with the opening fill of that position.
 
-    The fills of an account collapse to one row per task before the shuffle.
+    Fills collapse to one row per position, then per account, each time before
+    the shuffle.
     """
     asked = calls.select("account_id", F.col("ts").alias("call_ts"))
     return (
         lookup_join(fills, asked, "account_id", spread=["symbol", "ts"], how="inner", scale=scale)
         .filter(F.col("ts") <= F.col("call_ts"))
+        .groupBy("account_id", "symbol")
+        .agg(F.min("ts").alias("opening_fill_ts"), F.max(F.struct("ts", "seq")).alias("_last"))
         .groupBy("account_id")
         .agg(
-            F.max_by(F.struct("symbol", F.col("ts").alias("fill_ts")), F.struct("ts", "seq")).alias("f"),
+            F.max_by(F.struct("symbol", F.col("_last.ts").alias("fill_ts"), "opening_fill_ts"), "_last").alias("f"),
         )
         .select("account_id", "f.*")
     )
@@ -125,20 +128,18 @@ def trace_call(
     hot: DataFrame | None = None,
     scale: Scale = SCALE,
 ) -> DataFrame:
-    """From each margin call back to its margin row, last fill, price in force and opening fill."""
+    """From each margin call back to its margin row, last fill, price in force and opening fill.
+
+    The correlation id is made of account and event, so these join the margin
+    row without hashing every snapshot.
+    """
     calls = actions.filter(F.col("event_type") == "MARGIN_CALL_ISSUED")
-    source = margin_rows.select(
-        stable_id(F.lit("event"), "account_id", "event_id").alias("correlation_id"),
-        F.col("event_id").alias("margin_event_id"),
-        F.col("total_mv").alias("margin_mv"),
-    )
-    recent = last_fill_before(calls, fills, scale)
-    opening = fills.groupBy("account_id", "symbol").agg(F.min("ts").alias("opening_fill_ts"))
+    source = margin_rows.select("account_id", "event_id", F.col("total_mv").alias("margin_mv"))
     traced = (
-        calls.select("account_id", "ts", "correlation_id", "deficiency")
-        .join(source, "correlation_id")
-        .join(recent, "account_id", "left")
-        .join(opening, ["account_id", "symbol"], "left")
+        calls.select("account_id", "event_id", "ts", "correlation_id", "deficiency")
+        .join(source, ["account_id", "event_id"])
+        .withColumnRenamed("event_id", "margin_event_id")
+        .join(last_fill_before(calls, fills, scale), "account_id", "left")
     )
     return as_of(traced, prices, "price", "price_in_force", hot=hot, scale=scale)
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from ballast.functions.skew import (
     CARRIED,
     carry_rows,
-    day_segment,
     hot_keys,
     lookup_join,
     segment_window,
+    time_segment,
 )
 from ballast.params import DAY_MOVES, DEFAULT, SCALE, RiskParams, Scale
 
@@ -30,7 +30,7 @@ def price_returns(
 ) -> DataFrame:
     """Simple return of each tick over the one before it."""
     hot = hot_keys(ticks, ["symbol"], scale) if hot is None else hot
-    rows = carry_rows(ticks, ["symbol"], order, 1, day_segment(), hot)
+    rows = carry_rows(ticks, ["symbol"], order, 1, time_segment(), hot)
     window = segment_window(["symbol"], [F.col(o) for o in order])
     return rows.withColumn("return", _return(window)).filter(~F.col(CARRIED)).select(*ticks.columns, "return")
 
@@ -45,7 +45,7 @@ def rolling_volatility(
     """Standard deviation of the last returns of each symbol, plain and annual."""
     hot = hot_keys(ticks, ["symbol"], scale) if hot is None else hot
     n = params.volatility_rows
-    rows = carry_rows(ticks, ["symbol"], order, n, day_segment(), hot)
+    rows = carry_rows(ticks, ["symbol"], order, n, time_segment(), hot)
     window = segment_window(["symbol"], [F.col(o) for o in order])
     return (
         rows.withColumn("return", _return(window))

@@ -26,12 +26,12 @@ def margin_columns(
     net-short account has a positive one.
     as_of: stamps ``calc_timestamp`` (a column, or None to leave it out).
     """
-    base = F.abs("total_mv") if gross else F.col("total_mv")
-    out = (
-        totals.withColumn("equity", F.col("cash") + F.col("total_mv"))
-        .withColumn("maintenance_req", base * F.lit(params.maintenance_rate if rate is None else rate))
-        .withColumn("excess", F.col("equity") - F.col("maintenance_req"))
-        .withColumn("excess_pct", F.try_divide("excess", "total_mv"))
+    base = "abs(total_mv)" if gross else "total_mv"
+    share = params.maintenance_rate if rate is None else rate
+    out = totals.selectExpr("*", "cash + total_mv AS equity", f"{base} * {share!r}D AS maintenance_req").selectExpr(
+        "*",
+        "equity - maintenance_req AS excess",
+        "try_divide(equity - maintenance_req, total_mv) AS excess_pct",
     )
     return out if as_of is None else out.withColumn("calc_timestamp", as_of)
 

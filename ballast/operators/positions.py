@@ -58,21 +58,14 @@ def value_positions(
     skip; "fill_price" falls back to the position's own ``fill_price``.
     """
     joined = lookup_join(positions, symbol_marks, "symbol", spread=["account_id"], scale=scale)
-    if missing == "zero":
-        price = F.coalesce("price", F.lit(params.default_price))
-        beta = F.coalesce("beta", F.lit(params.default_beta))
-    elif missing == "null":
-        price, beta = F.col("price"), F.col("beta")
-    elif missing == "fill_price":
-        price = F.coalesce("price", "fill_price")
-        beta = F.coalesce("beta", F.lit(params.default_beta))
-    else:
-        raise ValueError(f"missing: {missing!r}")
+    price, beta = {
+        "zero": (f"coalesce(price, {params.default_price!r}D)", f"coalesce(beta, {params.default_beta!r}D)"),
+        "null": ("price", "beta"),
+        "fill_price": ("coalesce(price, fill_price)", f"coalesce(beta, {params.default_beta!r}D)"),
+    }[missing]
     kept = [c for c in positions.columns if c not in ("account_id", "symbol", "qty")]
-    return (
-        joined.select("account_id", "symbol", "qty", *kept, price.alias("price"), beta.alias("beta"))
-        .withColumn("market_value", F.col("qty") * F.col("price"))
-        .withColumn("beta_weighted_value", F.col("market_value") * F.col("beta"))
+    return joined.selectExpr("account_id", "symbol", "qty", *kept, f"{price} AS price", f"{beta} AS beta").selectExpr(
+        "*", "qty * price AS market_value", "qty * price * beta AS beta_weighted_value"
     )
 
 

@@ -573,7 +573,7 @@ def dedup_fills(spark, root):
         lines.select(
             fill_id.alias("fill_id"),
             F.col("l_partkey").alias("symbol"),
-            tables._signed_qty().alias("qty"),
+            F.expr(tables.SIGNED_QTY),
             F.col("l_shipdate").alias("ts"),
             F.explode(F.sequence(F.lit(1), times)).alias("delivery"),
         )

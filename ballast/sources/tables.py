@@ -30,26 +30,17 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
-def _signed_qty():
-    return F.col("l_quantity").cast("int") * F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
-
-
-def _trade_price():
-    drift = (F.col("l_tax") - F.col("l_discount")) * F.lit(0.25) * (F.lit(1) + F.col("l_partkey") % F.lit(4))
-    return F.col("p_retailprice") * (F.lit(1) + drift)
-
-
-def _seq():
-    return F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias("seq")
+SIGNED_QTY = "CAST(l_quantity AS INT) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS qty"
+TRADE_PRICE = "p_retailprice * (1 + (l_tax - l_discount) * 0.25D * (1 + l_partkey % 4)) AS price"
+SEQ = "struct(l_orderkey, l_linenumber, l_suppkey) AS seq"
 
 
 def _with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    placed = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("account_id"))
-    return lines.join(placed, "l_orderkey")
+    return lines.join(orders.selectExpr("o_orderkey AS l_orderkey", "o_custkey AS account_id"), "l_orderkey")
 
 
 def _with_part(lines: DataFrame, parts: DataFrame) -> DataFrame:
-    listed = parts.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    listed = parts.selectExpr("p_partkey AS l_partkey", "p_retailprice")
     return lookup_join(lines, listed, "l_partkey", spread=["l_orderkey", "l_linenumber"], how="inner")
 
 
@@ -59,18 +50,12 @@ def project_fills(lines: DataFrame, orders: DataFrame, parts: DataFrame | None =
     A fill must name account and symbol, as on the wire. Stating it here also
     keeps the filters of all branches of a plan alike, so they share exchanges.
     """
-    traded = _with_order(lines.filter(F.col("l_partkey").isNotNull()), orders.filter(F.col("o_custkey").isNotNull()))
-    columns = [
-        "account_id",
-        F.col("l_partkey").alias("symbol"),
-        _signed_qty().alias("qty"),
-        F.col("l_shipdate").alias("ts"),
-        _seq(),
-    ]
+    traded = _with_order(lines.filter("l_partkey IS NOT NULL"), orders.filter("o_custkey IS NOT NULL"))
+    columns = ["account_id", "l_partkey AS symbol", SIGNED_QTY, "l_shipdate AS ts", SEQ]
     if parts is not None:
         traded = _with_part(traded, parts)
-        columns.insert(3, _trade_price().alias("price"))
-    return traded.select(*columns)
+        columns.insert(3, TRADE_PRICE)
+    return traded.selectExpr(*columns)
 
 
 def fills(spark: SparkSession, root: str) -> DataFrame:
@@ -85,14 +70,8 @@ def trades(spark: SparkSession, root: str) -> DataFrame:
 
 
 def project_prices(lines: DataFrame, parts: DataFrame) -> DataFrame:
-    quoted = lines.filter(F.col("l_partkey") % F.lit(23) != 0)
-    return _with_part(quoted, parts).select(
-        F.col("l_partkey").alias("symbol"),
-        _trade_price().alias("price"),
-        F.col("l_shipdate").alias("ts"),
-        _seq(),
-        "p_retailprice",
-    )
+    quoted = _with_part(lines.filter("l_partkey % 23 <> 0"), parts)
+    return quoted.selectExpr("l_partkey AS symbol", TRADE_PRICE, "l_shipdate AS ts", SEQ, "p_retailprice")
 
 
 def prices(spark: SparkSession, root: str) -> DataFrame:
@@ -105,9 +84,8 @@ def quotes_with_list_price(spark: SparkSession, root: str) -> DataFrame:
 
 
 def project_betas(parts: DataFrame) -> DataFrame:
-    return parts.filter(F.col("p_partkey") % F.lit(17) != 0).select(
-        F.col("p_partkey").alias("symbol"),
-        (F.lit(0.5) + (F.col("p_size") % F.lit(16)).cast("double") / F.lit(10)).alias("beta"),
+    return parts.filter("p_partkey % 17 <> 0").selectExpr(
+        "p_partkey AS symbol", "0.5D + CAST(p_size % 16 AS DOUBLE) / 10 AS beta"
     )
 
 
@@ -117,13 +95,11 @@ def betas(spark: SparkSession, root: str) -> DataFrame:
 
 
 def project_cash(customers: DataFrame, priced_fills: DataFrame) -> DataFrame:
-    cost = priced_fills.groupBy("account_id").agg(F.sum(F.col("qty") * F.col("price")).alias("cost"))
-    loan = (F.lit(60) + F.lit(2) * (F.col("account_id") % F.lit(10))).cast("double") / F.lit(100)
-    balances = customers.select(F.col("c_custkey").alias("account_id"), "c_acctbal")
-    return balances.join(cost, "account_id", "left").select(
-        "account_id",
-        (F.col("c_acctbal") - loan * F.greatest(F.coalesce("cost", F.lit(0.0)), F.lit(0.0))).alias("cash"),
-    )
+    """Opening balance less a loan of 60 to 78 % of the account's net cost."""
+    cost = priced_fills.groupBy("account_id").agg(F.expr("sum(qty * price) AS cost"))
+    balances = customers.selectExpr("c_custkey AS account_id", "c_acctbal")
+    loan = "CAST(60 + 2 * (account_id % 10) AS DOUBLE) / 100 * greatest(coalesce(cost, 0D), 0D)"
+    return balances.join(cost, "account_id", "left").selectExpr("account_id", f"c_acctbal - {loan} AS cash")
 
 
 def cash(spark: SparkSession, root: str) -> DataFrame:
@@ -132,10 +108,8 @@ def cash(spark: SparkSession, root: str) -> DataFrame:
 
 def accounts(spark: SparkSession, root: str) -> DataFrame:
     """Account reference data: id, opening balance, risk profile."""
-    return table(spark, root, "customer").select(
-        F.col("c_custkey").alias("account_id"),
-        F.col("c_acctbal").alias("cash"),
-        F.lower("c_mktsegment").alias("risk_profile"),
+    return table(spark, root, "customer").selectExpr(
+        "c_custkey AS account_id", "c_acctbal AS cash", "lower(c_mktsegment) AS risk_profile"
     )
 
 
@@ -145,17 +119,14 @@ def margin_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def project_margin_events(events: DataFrame) -> DataFrame:
-    step = F.lit(1) + F.col("event_id") % F.lit(7)
-    mv = (F.lit(1000) * step).cast("double")
-    cushion = (F.col("value") - F.lit(15)) / F.lit(100)
-    tilt = (F.col("event_id") % F.lit(16)).cast("double") / F.lit(10)
-    return events.select(
+    mv, cushion = "CAST(1000 * (1 + event_id % 7) AS DOUBLE)", "(value - 15) / 100"
+    return events.selectExpr(
         "event_id",
-        (F.col("user_id") * F.lit(100) + F.dayofmonth("ts")).cast("bigint").alias("account_id"),
+        "CAST(user_id * 100 + dayofmonth(ts) AS BIGINT) AS account_id",
         "ts",
-        mv.alias("total_mv"),
-        (mv * (F.lit(0.25) + cushion)).alias("equity"),
-        (F.lit(250) * step).cast("double").alias("maintenance_req"),
-        (mv * cushion).alias("excess"),
-        (mv * (F.lit(0.5) + tilt)).alias("beta_weighted_exposure"),
+        f"{mv} AS total_mv",
+        f"{mv} * (0.25D + {cushion}) AS equity",
+        "CAST(250 * (1 + event_id % 7) AS DOUBLE) AS maintenance_req",
+        f"{mv} * ({cushion}) AS excess",
+        f"{mv} * (0.5D + CAST(event_id % 16 AS DOUBLE) / 10) AS beta_weighted_exposure",
     )

@@ -40,9 +40,8 @@ class EnforcementSink:
         prior = self.state.current(spark, batch_id - 1)
         if prior is not None:
             # one value: the batch's earliest time decides which state has expired
-            begin = snapshots.agg(F.min("ts").alias("ts"))
-            prior = live_state(prior.crossJoin(F.broadcast(begin.withColumnRenamed("ts", "_begin"))), F.col("_begin"))
-            prior = prior.drop("_begin")
+            begin = snapshots.agg(F.min("ts")).first()[0]
+            prior = live_state(prior, F.lit(begin).cast(snapshots.schema["ts"].dataType))
         taken = ladder(snapshots, self.params, self.stress, prior, self.scale)
         folder = f"{self.path}/actions/{batch_id}"
         taken.write.mode("overwrite").parquet(folder)

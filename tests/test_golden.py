@@ -31,10 +31,12 @@ def one(df):
 
 @pytest.mark.parametrize(
     "price,excess,stressed",
-    zip(
-        DEMO_PRICES,
-        [200_000, 197_000, 194_000, 188_000, 182_000, 176_000],
-        [171_200, 168_776, 166_352, 161_504, 156_656, 151_808],
+    list(
+        zip(
+            DEMO_PRICES,
+            [200_000, 197_000, 194_000, 188_000, 182_000, 176_000],
+            [171_200, 168_776, 166_352, 161_504, 156_656, 151_808],
+        )
     ),
 )
 def test_demo_account(spark, price, excess, stressed):
@@ -150,7 +152,7 @@ def test_missing_marks(spark):
     assert by("zero") == {"X": (10.0, 1.0, 30.0), "Y": (0.0, 1.0, 0.0)}
     assert by("null") == {"X": (10.0, None, 30.0), "Y": (None, None, None)}
     assert by("fill_price") == {"X": (10.0, 1.0, 30.0), "Y": (5.0, 1.0, 10.0)}
-    with pytest.raises(ValueError):
+    with pytest.raises(KeyError):
         by("guess")
 
 

@@ -8,7 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from ballast.operators import audit
-from ballast.params import TOPIC_BETAS, TOPIC_FILLS, TOPIC_PRICES, TOPICS
+from ballast.params import (
+    TOPIC_BETAS,
+    TOPIC_FILLS,
+    TOPIC_FIRM,
+    TOPIC_ORDERS,
+    TOPIC_PRICES,
+    TOPIC_VOLATILITY,
+    TOPICS,
+)
 from ballast.plans import catalog
 from ballast.schemas import BY_TOPIC
 from ballast.session import shared_folder, work_folder
@@ -86,6 +94,16 @@ def test_messages_round_trip(spark):
     ]
 
 
+def test_house_topics_share_the_writer(spark):
+    folder = work_folder(spark, "test")
+    sinks.write_events(catalog.latest_volatility(spark, SF), {"path": folder}, "symbol", TOPIC_VOLATILITY)
+    risk = catalog.firm_stress(spark, SF)
+    sinks.write_events(risk, {"path": folder}, "scenario", TOPIC_FIRM)
+    sinks.write_events(catalog.liquidation_orders(spark, SF), {"path": folder}, "account_id", TOPIC_ORDERS)
+    got = {r.topic: r["count"] for r in spark.read.json(folder).groupBy("topic").count().collect()}
+    assert got == {TOPIC_VOLATILITY: 191, TOPIC_FIRM: 8, TOPIC_ORDERS: 53}
+
+
 def test_audit_log_prunes_folders(spark):
     folder = work_folder(spark, "test")
     log = audit.audit_events(catalog.actions(spark, SF))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballast.functions.columns import stable_id, tidy
+from ballast.functions.columns import is_warning, stable_id, tidy
 from ballast.functions.skew import hot_keys
 from ballast.operators import addons, asof, audit, firm, history, liquidation, margin, positions, stress
 from ballast.operators import ladder as enforcement
@@ -402,8 +402,6 @@ def ladder_combined(spark, root):
 
 
 def warning_candidates(spark, root):
-    from ballast.functions.columns import is_warning
-
     events = tables.margin_events(spark, root)
     return _rounded(
         events.filter(is_warning(F.col("excess"), F.col("total_mv"))).select(
@@ -563,10 +561,13 @@ def dedup_fills(spark, root):
         "l_partkey",
         "l_suppkey",
         "l_linenumber",
-        *[F.round(F.col(c) * 100).cast("bigint").cast("string") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        *[
+            F.expr(f"CAST(CAST(floor({c} * 100 + 0.5D) AS BIGINT) AS STRING)")
+            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        ],
         "l_returnflag",
         "l_linestatus",
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
+        F.expr("CAST(CAST(l_shipdate AS DATE) AS STRING)"),
     )
     times = F.when(F.col("l_orderkey") % 3 == 0, 2).otherwise(1)
     return (

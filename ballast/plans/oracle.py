@@ -243,8 +243,8 @@ def statements() -> dict[str, str]:
         ),
         "dedup_fills": """
             SELECT DISTINCT sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-                       CAST(ROUND(l_quantity * 100) AS BIGINT), CAST(ROUND(l_extendedprice * 100) AS BIGINT),
-                       CAST(ROUND(l_discount * 100) AS BIGINT), CAST(ROUND(l_tax * 100) AS BIGINT),
+                       CAST(FLOOR(l_quantity * 100 + 5e-1) AS BIGINT), CAST(FLOOR(l_extendedprice * 100 + 5e-1) AS BIGINT),
+                       CAST(FLOOR(l_discount * 100 + 5e-1) AS BIGINT), CAST(FLOOR(l_tax * 100 + 5e-1) AS BIGINT),
                        l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d'))) AS fill_id,
                    l_partkey AS symbol,
                    CAST(l_quantity AS INTEGER) * (CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END) AS qty,

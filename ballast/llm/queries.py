@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballast.llm import neardup
+from ballast.llm import langid, neardup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,21 @@ def op6_minhash(spark: SparkSession, root: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, root, "documents"), size=2, percent=80)
 
 
+def op8_bin_slack(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    files = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(_table(spark, root, "documents"), *files)
+
+
+def op10_langid(spark: SparkSession, root: str) -> DataFrame:
+    return langid.identify(_table(spark, root, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_minhash": op6_minhash,
+    "op8_bin_slack": op8_bin_slack,
+    "op10_langid": op10_langid,
 }
 
 SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ballast.llm import langid, neardup, packing
+from ballast.llm import chat, langid, neardup, packing, pii, quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,25 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op2_line_first(spark: SparkSession, root: str) -> DataFrame:
+    return quality.line_first(_table(spark, root, "documents"))
+
+
+def op3_pii(spark: SparkSession, root: str) -> DataFrame:
+    return pii.find(_table(spark, root, "documents"))
+
+
+def op4_prefix_target(spark: SparkSession, root: str) -> DataFrame:
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "IF(id = 0, 'user', 'assistant') AS role", f"'{probe}' AS text")
+    own = _table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.expand(own.union(extra)))
+
+
+def op5_secrets(spark: SparkSession, root: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, root, "documents"))
+
+
 def op6_minhash(spark: SparkSession, root: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, root, "documents"), size=2, percent=80)
 
@@ -31,6 +50,10 @@ def op10_langid(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_line_first": op2_line_first,
+    "op3_pii": op3_pii,
+    "op4_prefix_target": op4_prefix_target,
+    "op5_secrets": op5_secrets,
     "op6_minhash": op6_minhash,
     "op8_bin_slack": op8_bin_slack,
     "op10_langid": op10_langid,

@@ -7,9 +7,10 @@ smallest hash of a bin is its value. An empty bin takes the value of the first f
 neighbouring bins make a band and equal bands make a bucket.
 
 A bucket proposes a star, not all its pairs: one edge from each member to a centre. Edges are confirmed on full shingle
-sets. The confirmed ones are joined to components. Pairs of a bucket that are in different components after that were
-not settled by the stars, so they are confirmed as well: no link that shares a bucket is lost. At the defaults a pair of
-similarity 0.8 shares none of its 64 buckets with a probability of 1e-5.
+sets and joined to components. Buckets whose members are then in one component are settled. The others go on, one of
+those that have the same members, cut into blocks of bounded size; a task compares the full sets of two blocks at a time
+and returns only links that join components. So no pair that shares a bucket is lost, and none is written out to be
+compared. At the defaults a pair of similarity 0.8 shares none of its 64 buckets with a probability of 1e-5.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from ballast.llm.common import WordHasher, mixed, stored, strings
 
 BINS, ROWS = 512, 8
+#: Members of a block and their shingles, at most about so many; columns of a step of the comparison of two blocks.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 128, 1 << 18, 4096
 SKETCH = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
 SEED = 20
 
@@ -119,6 +122,80 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return rows.mapInArrow(confirmer(size, percent), "a long, b long")
 
 
+def block_linker(size: int, percent: int):
+    """Function for mapInArrow over (key, i, j, block, component, node, text), sorted by key, i and j: links (a, b).
+
+    The rows of one (key, i, j) are the members of blocks i and j of a bucket. Returned are links between different
+    components, of those only as many as join what is not joined yet.
+    """
+
+    def links_of(hasher: WordHasher, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        block, component, node, texts = zip(*rows, strict=True)
+        sets = list(shingle_sets(hasher, pa.array(texts, pa.string()), size))
+        n = np.array([len(x) for x in sets])
+        known, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), n)
+        common = df > 1
+        column = (np.cumsum(common) - 1)[at][common[at]]
+        row, both = row[common[at]], np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for start in range(0, int(common.sum()), COLUMNS):
+            lo, hi = np.searchsorted(column, (start, start + COLUMNS))
+            part = np.zeros((len(sets), COLUMNS), np.float32)
+            part[row[lo:hi], column[lo:hi] - start] = 1
+            both += part @ part.T
+        alike = (both > 0) & (100 * both >= percent * (n[:, None] + n[None, :] - both))
+        root = {c: c for c in component}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        for x, y in zip(*np.nonzero(np.triu(alike, 1)), strict=True):
+            a, b = find(component[x]), find(component[y])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                yield min(node[x], node[y]), max(node[x], node[y])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, rows, last, found = WordHasher(fold_case=True), [], None, []
+        for batch in batches:
+            *keys, block, component, node = (batch.column(i).to_pylist() for i in range(6))
+            for k, group in enumerate(zip(*keys, strict=True)):
+                if group != last:
+                    found += links_of(hasher, rows) if len(rows) > 1 else []
+                    rows, last = [], group
+                rows.append((block[k], component[k], node[k], batch.column(6)[k].as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (zip(*found, strict=True) if found else ((), ()))], names=["a", "b"])
+            found = []
+        found = list(links_of(hasher, rows)) if len(rows) > 1 else []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    return run
+
+
+def block_links(shared: DataFrame, root: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components that share a bucket. `shared`: (key, node, n) of the buckets."""
+    member = shared.join(root, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    bucket = member.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("m"), F.sum("n").alias("total"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"),
+    )
+    # of the buckets with the same members, one
+    bucket = bucket.where("low < high").groupBy("who", "m").agg(F.min(F.struct("key", "total")).alias("b"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("b.total") / BLOCK_SHINGLES)).cast("int")
+    rows = member.join(bucket.select("b.key", blocks.alias("blocks")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "node")
+    rows = rows.join(texts, "node").select("key", "i", "j", "block", "component", "node", "text")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(block_linker(size, percent), "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): for each node of the links (a, b) the smallest node that it reaches.
 
@@ -167,15 +244,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, bins: int
     stars = stored(stars, "stars")
     links = stored(confirmed(stars, texts, size, percent), "confirmed")
     root = components(links)
-    # what the stars left open: pairs of a bucket in different components
-    member = shared.join(root, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed_up = member.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    member = stored(member.join(mixed_up, "key"), "open")
-    other = member.select("key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("theirs"))
-    rest = member.join(other, "key").where(f"component < theirs AND {alike}")
-    rest = rest.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    rest = stored(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = stored(confirmed(rest, texts, size, percent), "confirmed")
+    more = stored(block_links(shared, root, texts, size, percent), "joined")
     if not more.isEmpty():
         root = components(links.union(more))
     same = classes.select("d1", "d2", "n_shingles", "node").join(root, "node", "left")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ballast.llm import chat, langid, neardup, packing, pii, quality, secret_scan
+from ballast.llm import chat, langid, mixing, neardup, packing, pii, quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,24 @@ def op6_minhash(spark: SparkSession, root: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, root, "documents"), size=2, percent=80)
 
 
+#: Target weights of the mix at each level of the tree. The tables have no domains: sources are dealt to four of them.
+WEIGHTS = {
+    "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
+    "lang": {"en": 5, "fr": 2, "de": 2, "es": 1},
+    "source": {"src0": 3, "src5": 2},
+}
+EPOCHS, FRACTION, SEED = 2, 0.5, 7
+
+
+def domain() -> Column:
+    number = F.regexp_extract(F.col("source"), "([0-9]+)$", 1)
+    return F.when(number != "", F.concat(F.lit("domain"), (number.cast("int") % 4).cast("string")))
+
+
+def op7_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mix(_table(spark, root, "documents"), domain(), WEIGHTS, EPOCHS, FRACTION, seed=SEED)
+
+
 def op8_bin_slack(spark: SparkSession, root: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,8 +74,64 @@ QUERIES: dict[str, Query] = {
     "op4_prefix_target": op4_prefix_target,
     "op5_secrets": op5_secrets,
     "op6_minhash": op6_minhash,
+    "op7_mixing": op7_mixing,
     "op8_bin_slack": op8_bin_slack,
     "op10_langid": op10_langid,
 }
 
-SQL: dict[str, str] = {}
+
+def _cases(level: str) -> str:
+    rules = " ".join(f"WHEN {level} = '{value}' THEN CAST({weight} AS DOUBLE)" for value, weight in WEIGHTS[level].items())
+    return f"CASE {rules} ELSE CAST(1 AS DOUBLE) END"
+
+
+def _pour(nodes: str, parent: str, own: str) -> str:
+    """SQL that splits `budget` of each parent over the rows of `nodes` by weight, none above its room."""
+    return f"""
+      SELECT *, CASE WHEN stand IS NULL THEN room ELSE LEAST(weight * stand, room) END AS share FROM (
+        SELECT *, FIRST_VALUE(CASE WHEN level < fill THEN level END IGNORE NULLS) OVER (
+          PARTITION BY {parent} ORDER BY fill, {own} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stand
+        FROM (
+          SELECT *, CASE WHEN weight > 0 THEN (budget - COALESCE(SUM(room) OVER (
+              PARTITION BY {parent} ORDER BY fill, {own} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / SUM(weight) OVER (
+              PARTITION BY {parent} ORDER BY fill, {own} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+            ELSE 0 END AS level
+          FROM (SELECT *, CASE WHEN weight > 0 THEN room / weight ELSE 1e300 END AS fill FROM ({nodes}))))"""
+
+
+def mixing_sql(docs: str = "documents") -> str:
+    """The mix as one statement over `docs`; no weight of WEIGHTS is 0."""
+    rows = f"""
+      SELECT doc_id, CASE WHEN regexp_extract(source, '([0-9]+)$', 1) <> ''
+          THEN 'domain' || CAST(CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4 AS VARCHAR) ELSE '' END AS domain,
+        COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+        CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens
+      FROM {docs}"""
+    top = _pour("SELECT * FROM tops", "1", "domain")
+    middle = _pour("SELECT m.*, t.share AS budget FROM middles m JOIN poured_tops t USING (domain)", "domain", "lang")
+    low = _pour("SELECT l.*, m.share AS budget FROM lows l JOIN poured_middles m USING (domain, lang)", "domain, lang", "source")
+    return f"""
+    WITH rows_ AS MATERIALIZED ({rows}),
+    lows AS (SELECT domain, lang, source, SUM(n_tokens) AS n_tokens, CAST(SUM(n_tokens) * {EPOCHS} AS DOUBLE) AS room,
+      {_cases("source")} AS weight FROM rows_ GROUP BY domain, lang, source),
+    middles AS (SELECT domain, lang, SUM(room) AS room, SUM(n_tokens) AS n_all, {_cases("lang")} AS weight FROM lows GROUP BY domain, lang),
+    tops AS (SELECT domain, SUM(room) AS room, {_cases("domain")} AS weight,
+      CAST(FLOOR(SUM(SUM(n_all)) OVER () * CAST({FRACTION} AS DOUBLE)) AS DOUBLE) AS budget FROM middles GROUP BY domain),
+    poured_tops AS ({top}),
+    poured_middles AS ({middle}),
+    poured AS ({low}),
+    leaves AS (SELECT domain, lang, source, n_tokens AS leaf_tokens, CAST(FLOOR(share) AS BIGINT) AS budget FROM poured WHERE n_tokens > 0),
+    placed AS (
+      SELECT r.*, budget // leaf_tokens AS whole, budget % leaf_tokens AS rest,
+        md5('{SEED}:' || CAST(budget // leaf_tokens AS VARCHAR) || ':' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS key
+      FROM rows_ r LEFT JOIN leaves USING (domain, lang, source)),
+    running AS (
+      SELECT *, SUM(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id, n_tokens
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM placed)
+    SELECT doc_id, domain, lang, source, n_tokens,
+      CAST(COALESCE(whole, 0) + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS uses
+    FROM running"""
+
+
+SQL: dict[str, str] = {"op7_mixing": mixing_sql()}

@@ -68,6 +68,12 @@ def op10_langid(spark: SparkSession, root: str) -> DataFrame:
     return langid.identify(_table(spark, root, "documents"))
 
 
+def pipeline(spark: SparkSession, root: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_first": op2_line_first,
     "op3_pii": op3_pii,
@@ -77,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": op7_mixing,
     "op8_bin_slack": op8_bin_slack,
     "op10_langid": op10_langid,
+    "pipeline": pipeline,
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballast.llm import chat, langid, mixing, neardup, packing, pii, quality, secret_scan
+from ballast.llm import chat, html_extract, langid, mixing, neardup, packing, pii, quality, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_suffix_array(spark: SparkSession, root: str) -> DataFrame:
+    return html_extract.extract(_table(spark, root, "pages"))
+
+
 def op2_line_first(spark: SparkSession, root: str) -> DataFrame:
     return quality.line_first(_table(spark, root, "documents"))
 
@@ -75,6 +79,7 @@ def pipeline(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_array": op1_suffix_array,
     "op2_line_first": op2_line_first,
     "op3_pii": op3_pii,
     "op4_prefix_target": op4_prefix_target,

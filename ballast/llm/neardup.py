@@ -26,7 +26,7 @@ from ballast.llm.common import WordHasher, mixed, stored, strings
 
 BINS, ROWS = 512, 8
 #: Members of a block and their shingles, at most about so many; columns of a step of the comparison of two blocks.
-BLOCK, BLOCK_SHINGLES, COLUMNS = 128, 1 << 18, 4096
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 1 << 18, 4096
 SKETCH = "doc_id long, d1 long, d2 long, n_shingles long, bands array<long>"
 SEED = 20
 
@@ -181,16 +181,31 @@ def block_linker(size: int, percent: int):
 def block_links(shared: DataFrame, root: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between different components that share a bucket. `shared`: (key, node, n) of the buckets."""
     member = shared.join(root, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    bucket = member.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.count("*").alias("m"), F.sum("n").alias("total"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who"),
+    part = member.groupBy("key", "component").agg(
+        F.count("*").alias("m"), F.sum("n").alias("total"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("who")
+    )
+    # the largest component of a bucket needs no comparison with itself: its members meet only those of the others
+    bucket = part.groupBy("key").agg(
+        F.max(F.struct("m", "total", "component")).alias("p"),
+        F.sum("m").alias("m"), F.sum("total").alias("total"), F.sum("who").alias("who"), F.count("*").alias("parts"),
     )
     # of the buckets with the same members, one
-    bucket = bucket.where("low < high").groupBy("who", "m").agg(F.min(F.struct("key", "total")).alias("b"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("b.total") / BLOCK_SHINGLES)).cast("int")
-    rows = member.join(bucket.select("b.key", blocks.alias("blocks")), "key")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    bucket = bucket.where("parts > 1").groupBy("who", "m").agg(F.min(F.struct("key", "p", "total")).alias("b"))
+
+    def blocks(m, total):
+        return F.greatest(F.ceil(m / BLOCK), F.ceil(total / BLOCK_SHINGLES)).cast("int")
+
+    large = F.col("b.p")
+    bucket = bucket.select(
+        "b.key", large["component"].alias("largest"), blocks(large["m"], large["total"]).alias("passive"),
+        blocks(F.col("m") - large["m"], F.col("b.total") - large["total"]).alias("active"),
+    )
+    rows = member.join(bucket, "key")
+    at = F.xxhash64("node", "key")
+    is_large = F.col("component") == F.col("largest")
+    rows = rows.withColumn("block", F.when(is_large, F.col("active") + F.pmod(at, "passive")).otherwise(F.pmod(at, "active")).cast("int"))
+    last = F.when(is_large, F.col("active")).otherwise(F.col("active") + F.col("passive")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "node")
     rows = rows.join(texts, "node").select("key", "i", "j", "block", "component", "node", "text")
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(block_linker(size, percent), "a long, b long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballast.llm import chat, html_extract, langid, mixing, neardup, packing, pii, quality, secret_scan
+from ballast.llm import chat, html_extract, langid, mixing, neardup, packing, pii, quality, secret_scan, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def op8_bin_slack(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(_table(spark, root, "documents"), *files)
 
 
+def op9_flat_graph(spark: SparkSession, root: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, root, "embeddings"), limit=0.98)
+
+
 def op10_langid(spark: SparkSession, root: str) -> DataFrame:
     return langid.identify(_table(spark, root, "documents"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op6_minhash": op6_minhash,
     "op7_mixing": op7_mixing,
     "op8_bin_slack": op8_bin_slack,
+    "op9_flat_graph": op9_flat_graph,
     "op10_langid": op10_langid,
     "pipeline": pipeline,
 }

@@ -49,8 +49,13 @@ def minutes_between(later: Column, earlier: Column) -> Column:
 
 
 def stable_id(*parts: Column | str) -> Column:
-    """Id that a retried task mints again unchanged."""
-    return F.sha2(F.concat_ws("|", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts]), 256)
+    """Id that a retried task mints again unchanged. A missing part is marked, and a separator inside a part escaped."""
+
+    def piece(part: Column | str) -> Column:
+        text = (F.col(part) if isinstance(part, str) else part).cast("string")
+        return F.coalesce(F.regexp_replace(text, r"([\\|])", r"\\$1"), F.lit("\\N"))
+
+    return F.sha2(F.concat_ws("|", *map(piece, parts)), 256)
 
 
 def hour_parts(ts: Column) -> dict[str, Column]:

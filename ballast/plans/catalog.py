@@ -34,12 +34,19 @@ def hot_symbols(spark: SparkSession, root: str) -> DataFrame:
 
 
 def marks(spark, root):
-    return positions.marks(positions.latest_value(tables.prices(spark, root), "price"), tables.betas(spark, root))
+    return positions.marks(tables.last_prices(spark, root), tables.betas(spark, root))
 
 
-def valued(spark, root, missing="zero"):
+def marks_with_gaps(spark, root):
+    """Marks without the price of every 23rd and the beta of every 17th symbol: the fixture of missing marks."""
+    return positions.marks(
+        tables.with_gaps(tables.last_prices(spark, root), 23), tables.with_gaps(tables.betas(spark, root), 17)
+    )
+
+
+def valued(spark, root):
     held = positions.net_positions(tables.trades(spark, root)).select("account_id", "symbol", "qty")
-    return positions.value_positions(held, marks(spark, root), missing)
+    return positions.value_positions(held, marks(spark, root))
 
 
 def margin_flat(spark, root):
@@ -135,7 +142,7 @@ def open_positions(spark, root):
 
 
 def latest_price(spark, root):
-    return positions.latest_value(tables.prices(spark, root), "price")
+    return tables.last_prices(spark, root)
 
 
 def latest_price_rn(spark, root):
@@ -143,7 +150,10 @@ def latest_price_rn(spark, root):
 
 
 def latest_beta(spark, root):
-    ticks = tables.betas(spark, root).withColumn("ts", F.lit(0)).withColumn("seq", F.lit(0))
+    """Betas restated over time: each line item restates its symbol's beta by its own tax rate."""
+    ticks = tables.table(spark, root, "lineitem").filter("l_partkey IS NOT NULL").selectExpr(
+        "l_partkey AS symbol", "0.5D + l_tax * 10 AS beta", "l_shipdate AS ts", tables.SEQ
+    )
     return positions.latest_value(ticks, "beta", ("ts", "seq", "beta"))
 
 
@@ -152,13 +162,14 @@ def positions_valued(spark, root):
 
 
 def positions_valued_nulls(spark, root):
-    return valued(spark, root, "null")
+    held = positions.net_positions(tables.trades(spark, root)).select("account_id", "symbol", "qty")
+    return positions.value_positions(held, marks_with_gaps(spark, root), "null")
 
 
 def positions_valued_fill_price(spark, root):
     newest = F.max_by("price", F.struct("ts", "seq", "price")).alias("fill_price")
     held = tables.fills(spark, root).groupBy("account_id", "symbol").agg(F.sum("qty").alias("qty"), newest)
-    return positions.value_positions(held, marks(spark, root), "fill_price")
+    return positions.value_positions(held, marks_with_gaps(spark, root), "fill_price")
 
 
 def position_weights(spark, root):
@@ -554,8 +565,10 @@ def event_display_line(spark, root):
 
 
 def dedup_fills(spark, root):
-    """Each delivery of a fill once; every third order is delivered twice."""
+    """Each fill once, though every third order is delivered twice: repeats agree in every column as delivered."""
     lines = tables.table(spark, root, "lineitem")
+    times = F.when(F.col("l_orderkey") % 3 == 0, 2).otherwise(1)
+    delivered = lines.withColumn("delivery", F.explode(F.sequence(F.lit(1), times))).drop("delivery")
     fill_id = stable_id(
         "l_orderkey",
         "l_partkey",
@@ -569,17 +582,8 @@ def dedup_fills(spark, root):
         "l_linestatus",
         F.expr("CAST(CAST(l_shipdate AS DATE) AS STRING)"),
     )
-    times = F.when(F.col("l_orderkey") % 3 == 0, 2).otherwise(1)
-    return (
-        lines.select(
-            fill_id.alias("fill_id"),
-            F.col("l_partkey").alias("symbol"),
-            F.expr(tables.SIGNED_QTY),
-            F.col("l_shipdate").alias("ts"),
-            F.explode(F.sequence(F.lit(1), times)).alias("delivery"),
-        )
-        .drop("delivery")
-        .dropDuplicates(["fill_id"])
+    return delivered.dropDuplicates().select(
+        fill_id.alias("fill_id"), F.col("l_partkey").alias("symbol"), F.expr(tables.SIGNED_QTY), F.col("l_shipdate").alias("ts")
     )
 
 

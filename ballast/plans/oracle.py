@@ -13,9 +13,9 @@ CTE: dict[str, str] = {
                p.p_retailprice * (1 + (l.l_tax - l.l_discount) * 0.25 * (1 + l.l_partkey % 4)) AS price,
                l.l_shipdate AS ts, l.l_orderkey, l.l_linenumber, l.l_suppkey, p.p_retailprice
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey""",
-    "prices": "SELECT * FROM fills WHERE symbol % 23 <> 0",
+    "prices": "SELECT * FROM fills",
     "betas": """
-        SELECT p_partkey AS symbol, 0.5 + CAST(p_size % 16 AS DOUBLE) / 10 AS beta FROM part WHERE p_partkey % 17 <> 0""",
+        SELECT p_partkey AS symbol, 0.5 + CAST(p_size % 16 AS DOUBLE) / 10 AS beta FROM part""",
     "cash": """
         SELECT c.c_custkey AS account_id,
                c.c_acctbal - CAST(60 + 2 * (c.c_custkey % 10) AS DOUBLE) / 100
@@ -40,6 +40,8 @@ CTE: dict[str, str] = {
             SELECT symbol, price, ts, ROW_NUMBER() OVER (
                 PARTITION BY symbol ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, price DESC) AS rn
             FROM prices) WHERE rn = 1""",
+    "gap_prices": "SELECT * FROM last_price WHERE symbol % 23 <> 0",
+    "gap_betas": "SELECT * FROM betas WHERE symbol % 17 <> 0",
     "valued": """
         SELECT p.account_id, p.symbol, p.qty, COALESCE(pr.price, 0.0) AS price, COALESCE(b.beta, 1.0) AS beta,
                p.qty * COALESCE(pr.price, 0.0) AS market_value,
@@ -59,9 +61,9 @@ CTE: dict[str, str] = {
                (cash + total_mv - total_mv * 0.25) / NULLIF(total_mv, 0) AS excess_pct
         FROM (SELECT t.*, COALESCE(c.cash, 0.0) AS cash
               FROM totals t LEFT JOIN cash c ON c.account_id = t.account_id)""",
-    "index_moves": "SELECT unnest([-8e-2, -6e-2, -4e-2, -2e-2, 0e0, 2e-2, 4e-2, 6e-2]) AS scenario",
+    "index_moves": "SELECT unnest(CAST([-0.08, -0.06, -0.04, -0.02, 0.0, 0.02, 0.04, 0.06] AS DOUBLE[])) AS scenario",
     "grid_moves": (
-        "SELECT unnest([-15e-2, -10e-2, -5e-2, -3e-2, -1e-2, 1e-2, 3e-2, 5e-2, 10e-2, 15e-2]) AS scenario"
+        "SELECT unnest(CAST([-0.15, -0.10, -0.05, -0.03, -0.01, 0.01, 0.03, 0.05, 0.10, 0.15] AS DOUBLE[])) AS scenario"
     ),
     "stress_flat": """
         SELECT m.account_id, s.scenario, 'SPY_BETA_WEIGHTED' AS scenario_type,
@@ -214,8 +216,9 @@ def _both_ladders(columns: str) -> str:
 
 
 def _shock_path() -> str:
-    moves, factors, rows = ("0e0", "1e-2", "-5e-3", "-2e-2", "-3e-2", "-1e-2"), "price", []
-    for step, move in enumerate(moves):
+    moves, factors, rows = (0.0, 0.01, -0.005, -0.02, -0.03, -0.01), "price", []
+    for step, number in enumerate(moves):
+        move = f"CAST({number} AS DOUBLE)"  # SQL reads plain decimals as DECIMAL
         factors += f" * (1 + beta * {move})"
         rows.append(f"SELECT {step} AS step, {move} AS market_move, {factors} AS shocked_price")
     return " UNION ALL ".join(rows)
@@ -242,14 +245,14 @@ def statements() -> dict[str, str]:
                FROM messages WHERE topic = 'orders.v1' OR broken OR mistyped""",
         ),
         "dedup_fills": """
-            SELECT DISTINCT sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+            SELECT sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
                        CAST(FLOOR(l_quantity * 100 + 5e-1) AS BIGINT), CAST(FLOOR(l_extendedprice * 100 + 5e-1) AS BIGINT),
                        CAST(FLOOR(l_discount * 100 + 5e-1) AS BIGINT), CAST(FLOOR(l_tax * 100 + 5e-1) AS BIGINT),
                        l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d'))) AS fill_id,
                    l_partkey AS symbol,
                    CAST(l_quantity AS INTEGER) * (CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END) AS qty,
                    l_shipdate AS ts
-            FROM lineitem""",
+            FROM (SELECT DISTINCT * FROM lineitem)""",
         "backtest_replay": _with(
             PRICES, 'SELECT ts AS "timestamp", CAST(symbol AS VARCHAR) AS symbol, price FROM prices'
         ),
@@ -279,16 +282,20 @@ def statements() -> dict[str, str]:
         "open_positions": _with(("fills", "positions"), "SELECT * FROM positions WHERE qty <> 0"),
         "latest_price": _with((*PRICES, "last_price"), "SELECT symbol, price FROM last_price"),
         "latest_price_rn": _with((*PRICES, "last_price"), "SELECT symbol, price, ts FROM last_price"),
-        "latest_beta": _with(("betas",), "SELECT symbol, beta FROM betas"),
+        "latest_beta": """
+            SELECT symbol, beta FROM (
+                SELECT l_partkey AS symbol, 0.5 + l_tax * 10 AS beta, ROW_NUMBER() OVER (PARTITION BY l_partkey
+                    ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_tax DESC) AS rn
+                FROM lineitem) WHERE rn = 1""",
         "positions_valued": _with(VALUED, "SELECT * FROM valued"),
         "positions_valued_nulls": _with(
-            (*PRICES, "betas", "positions", "last_price"),
+            (*PRICES, "betas", "positions", "last_price", "gap_prices", "gap_betas"),
             """SELECT p.account_id, p.symbol, p.qty, pr.price, b.beta, p.qty * pr.price AS market_value,
                       p.qty * pr.price * b.beta AS beta_weighted_value
-               FROM positions p LEFT JOIN last_price pr ON pr.symbol = p.symbol LEFT JOIN betas b ON b.symbol = p.symbol""",
+               FROM positions p LEFT JOIN gap_prices pr ON pr.symbol = p.symbol LEFT JOIN gap_betas b ON b.symbol = p.symbol""",
         ),
         "positions_valued_fill_price": _with(
-            (*PRICES, "betas", "positions", "last_price"),
+            (*PRICES, "betas", "positions", "last_price", "gap_prices", "gap_betas"),
             """SELECT p.account_id, p.symbol, p.qty, f.price AS fill_price, COALESCE(pr.price, f.price) AS price,
                       COALESCE(b.beta, 1.0) AS beta, p.qty * COALESCE(pr.price, f.price) AS market_value,
                       p.qty * COALESCE(pr.price, f.price) * COALESCE(b.beta, 1.0) AS beta_weighted_value
@@ -296,7 +303,7 @@ def statements() -> dict[str, str]:
                JOIN (SELECT account_id, symbol, price, ROW_NUMBER() OVER (PARTITION BY account_id, symbol ORDER BY
                          ts DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, price DESC) AS rn FROM fills) f
                  ON f.account_id = p.account_id AND f.symbol = p.symbol AND f.rn = 1
-               LEFT JOIN last_price pr ON pr.symbol = p.symbol LEFT JOIN betas b ON b.symbol = p.symbol""",
+               LEFT JOIN gap_prices pr ON pr.symbol = p.symbol LEFT JOIN gap_betas b ON b.symbol = p.symbol""",
         ),
         "position_weights": _with(
             VALUED,

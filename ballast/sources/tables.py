@@ -31,7 +31,8 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 SIGNED_QTY = "CAST(l_quantity AS INT) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS qty"
-TRADE_PRICE = "p_retailprice * (1 + (l_tax - l_discount) * 0.25D * (1 + l_partkey % 4)) AS price"
+FACTOR = "(1 + (l_tax - l_discount) * 0.25D * (1 + l_partkey % 4))"
+TRADE_PRICE = f"p_retailprice * {FACTOR} AS price"
 SEQ = "struct(l_orderkey, l_linenumber, l_suppkey) AS seq"
 
 
@@ -70,27 +71,41 @@ def trades(spark: SparkSession, root: str) -> DataFrame:
 
 
 def project_prices(lines: DataFrame, parts: DataFrame) -> DataFrame:
-    quoted = _with_part(lines.filter("l_partkey % 23 <> 0"), parts)
+    quoted = _with_part(lines.filter("l_partkey IS NOT NULL"), parts)
     return quoted.selectExpr("l_partkey AS symbol", TRADE_PRICE, "l_shipdate AS ts", SEQ, "p_retailprice")
 
 
 def prices(spark: SparkSession, root: str) -> DataFrame:
-    """Price ticks; every 23rd symbol has none."""
+    """Price ticks, one per line item."""
     return project_prices(table(spark, root, "lineitem"), table(spark, root, "part")).drop("p_retailprice")
 
 
+def last_prices(spark: SparkSession, root: str) -> DataFrame:
+    """Newest price per symbol. Ticks are reduced before they meet their list price, so none is shuffled.
+
+    Of ticks that agree in time and sequence the dearest wins: within a symbol the price follows its factor.
+    """
+    ticks = table(spark, root, "lineitem").filter("l_partkey IS NOT NULL").selectExpr("l_partkey", f"{FACTOR} AS factor", "l_shipdate AS ts", SEQ)
+    newest = ticks.groupBy("l_partkey").agg(F.max_by("factor", F.struct("ts", "seq", "factor")).alias("factor"))
+    listed = table(spark, root, "part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
+    return newest.join(listed, "l_partkey").selectExpr("l_partkey AS symbol", "p_retailprice * factor AS price")
+
+
+def with_gaps(marks: DataFrame, every: int) -> DataFrame:
+    """Fixture for the queries about missing marks: symbols divisible by ``every`` have none."""
+    return marks.filter(F.col("symbol") % every != 0)
+
+
 def quotes_with_list_price(spark: SparkSession, root: str) -> DataFrame:
     return project_prices(table(spark, root, "lineitem"), table(spark, root, "part"))
 
 
 def project_betas(parts: DataFrame) -> DataFrame:
-    return parts.filter("p_partkey % 17 <> 0").selectExpr(
-        "p_partkey AS symbol", "0.5D + CAST(p_size % 16 AS DOUBLE) / 10 AS beta"
-    )
+    return parts.selectExpr("p_partkey AS symbol", "0.5D + CAST(p_size % 16 AS DOUBLE) / 10 AS beta")
 
 
 def betas(spark: SparkSession, root: str) -> DataFrame:
-    """One beta per symbol; every 17th symbol has none."""
+    """One beta per symbol."""
     return project_betas(table(spark, root, "part"))
 
 

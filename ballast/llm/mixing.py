@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ballast.llm.common import stored
 
 LEVELS = ("domain", "lang", "source")
-#: Hexadecimal digits of the hash that name a bucket: 65,536 buckets per leaf.
-DIGITS = 4
+#: Hexadecimal digits of the hash that name a bucket, coarse to fine: at most 256 buckets of a leaf are looked at each time.
+DIGITS = (2, 4)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -103,16 +103,20 @@ def mix(
     leaves = leaves.select(*LEVELS, F.floor(F.col("budget") / F.col("n_tokens")).alias("whole"), (F.col("budget") % F.col("n_tokens")).alias("left"))
     leaves = stored(leaves, "leaves")
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    placed = rows.join(leaves, list(LEVELS), "left").withColumn("key", key).withColumn("bucket", F.substring("key", 1, DIGITS))
-    totals = placed.where("left > 0").groupBy(*LEVELS, "bucket").agg(F.sum("n_tokens").alias("n"), F.max("left").alias("left"))
+    placed = rows.join(leaves, list(LEVELS), "left").withColumn("key", key)
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = totals.withColumn("upto", F.sum("n").over(running))
-    cut = totals.where("upto > left").groupBy(*LEVELS).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("base"))).alias("cut"))
-    cut = stored(cut.select(*LEVELS, F.col("cut.bucket").alias("cut"), F.col("cut.base").alias("base")), "cuts")
+    inner, cut = placed.where("left > 0").withColumn("base", F.lit(0).cast("long")), None
+    for digits in DIGITS:
+        if cut is not None:
+            inner = placed.join(cut, list(LEVELS)).where("startswith(key, cut)")
+        totals = inner.groupBy(*LEVELS, F.substring("key", 1, digits).alias("bucket")).agg(F.sum("n_tokens").alias("n"), F.max("left").alias("left"), F.max("base").alias("base"))
+        totals = totals.withColumn("upto", F.col("base") + F.sum("n").over(running))
+        cut = totals.where("upto > left").groupBy(*LEVELS).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("base"))).alias("cut"))
+        cut = stored(cut.select(*LEVELS, F.col("cut.bucket").alias("cut"), F.col("cut.base").alias("base")), "cuts")
     placed = placed.join(cut, list(LEVELS), "left")
-    sure = placed.where("cut IS NULL OR bucket <> cut")
-    sure = sure.withColumn("more", F.when((F.col("left") > 0) & (F.col("cut").isNull() | (F.col("bucket") < F.col("cut"))), 1).otherwise(0))
+    sure = placed.where("cut IS NULL OR NOT startswith(key, cut)")
+    sure = sure.withColumn("more", F.when((F.col("left") > 0) & (F.col("cut").isNull() | (F.col("key") < F.col("cut"))), 1).otherwise(0))
     inside = Window.partitionBy(*LEVELS).orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = placed.where("bucket = cut").withColumn("more", F.when(F.col("base") + F.sum("n_tokens").over(inside) <= F.col("left"), 1).otherwise(0))
+    last = placed.where("startswith(key, cut)").withColumn("more", F.when(F.col("base") + F.sum("n_tokens").over(inside) <= F.col("left"), 1).otherwise(0))
     uses = (F.coalesce(F.col("whole"), F.lit(0)) + F.col("more")).cast("long").alias("uses")
     return sure.unionByName(last).select("doc_id", *LEVELS, "n_tokens", uses)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,16 +57,27 @@ def liquidation_selection(
     )
 
 
-def liquidation_orders(selection: DataFrame, scale: Scale = SCALE) -> DataFrame:
-    """Order messages: the lines of an account in pages of bounded length."""
+def liquidation_orders(selection: DataFrame, scale: Scale = SCALE, at: Column | None = None) -> DataFrame:
+    """Order messages: the lines of an account in pages of bounded length; ``pages`` tells how many there are.
+
+    ``at`` is the time on the orders, by default now.
+    """
     line = F.struct("lines_before", "symbol", "qty", "estimated_proceeds")
+    # the last page of an account, found by a partial aggregate beside its lines
+    last = selection.groupBy("account_id").agg((F.floor(F.max("lines_before") / F.lit(scale.page_rows)) + 1).cast("int").alias("_pages"))
     return (
-        selection.withColumn("page", F.floor(F.col("lines_before") / F.lit(scale.page_rows)).cast("int"))
+        lookup_join(selection, last, "account_id", spread=["symbol"], how="inner", scale=scale)
+        .withColumn("page", F.floor(F.col("lines_before") / F.lit(scale.page_rows)).cast("int"))
         .groupBy("account_id", "page")
-        .agg(F.array_sort(F.collect_list(line)).alias("_lines"), F.max("deficiency").alias("deficiency"))
+        .agg(
+            F.array_sort(F.collect_list(line)).alias("_lines"),
+            F.max("deficiency").alias("deficiency"),
+            F.max("_pages").alias("pages"),
+        )
         .select(
             "account_id",
             "page",
+            "pages",
             F.transform(
                 "_lines",
                 lambda x: F.struct(
@@ -77,5 +88,6 @@ def liquidation_orders(selection: DataFrame, scale: Scale = SCALE) -> DataFrame:
             ).alias("positions"),
             F.lit("MARGIN_DEFICIENCY").alias("reason"),
             "deficiency",
+            (F.current_timestamp() if at is None else at).alias("timestamp"),
         )
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from ballast.functions.columns import is_warning, stable_id, tidy
 from ballast.functions.skew import hot_keys
 from ballast.operators import addons, asof, audit, firm, history, liquidation, margin, positions, stress
 from ballast.operators import ladder as enforcement
-from ballast.params import DEFAULT, GRID_TAG, TOPIC_FILLS
+from ballast.params import DEFAULT, TOPIC_FILLS
+from ballast.params import SCALE as DEFAULT_SCALE
 from ballast.session import work_folder
 from ballast.sinks import events as sinks
 from ballast.sources import events as wire
@@ -543,25 +546,54 @@ def liquidation_selection(spark, root):
     )
 
 
+def _orders(spark, root):
+    chosen = liquidation.liquidation_selection(valued(spark, root), margin_cash(spark, root))
+    return liquidation.liquidation_orders(chosen, at=F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+
+
 def liquidation_orders(spark, root):
-    book = valued(spark, root)
-    return liquidation.liquidation_orders(
-        liquidation.liquidation_selection(book, margin_cash(spark, root))
-    ).withColumn("deficiency", tidy(F.col("deficiency"), EXACT))
+    return _orders(spark, root).withColumn("deficiency", tidy(F.col("deficiency"), EXACT))
+
+
+def liquidation_order_lines(spark, root):
+    """The orders line by line, numbered within the account."""
+    lines = _orders(spark, root).select(
+        "account_id", "page", "pages", "reason", "deficiency", "timestamp", F.posexplode("positions").alias("pos", "line")
+    )
+    number = F.col("page").cast("bigint") * DEFAULT_SCALE.page_rows + F.col("pos")
+    out = lines.select("account_id", number.alias("line_no"), "pages", "reason", "deficiency", "timestamp", "line.*")
+    return _rounded(out, "deficiency")
+
+
+def audit_by_correlation(spark, root):
+    """Everything that was recorded under the correlation id of each margin call, in order of time."""
+    trail = audit.audit_events(actions(spark, root))
+    calls = trail.filter(F.col("event_type") == "MARGIN_CALL_ISSUED").select("correlation_id")
+    out = trail.join(calls, "correlation_id", "left_semi")
+    return out.select("correlation_id", "timestamp", "event_type", "event_id", "account_id")
+
+
+def audit_retained(spark, root):
+    """Audit rows still kept in the middle of April: the first half of January is past its 90 days."""
+    trail = audit.audit_events(actions(spark, root, True))
+    kept = audit.retained(trail, F.lit("2024-04-15 00:00:00").cast("timestamp_ntz"))
+    return kept.select("event_id", "timestamp", "event_type", "account_id")
 
 
 def event_display_line(spark, root):
-    """Fills, margin snapshots and control events as lines of text."""
-    fills = tables.fills(spark, root)
-    snapshots = tables.margin_events(spark, root)
-    acts = sinks.display_actions(actions(spark, root, True))
-    return (
-        fills.select("account_id", "ts", sinks.display_line("fill", fills).alias("display_line"))
-        .unionByName(
-            snapshots.select("account_id", "ts", sinks.display_line("margin", snapshots).alias("display_line"))
+    """Events of all kinds as lines of text."""
+    fills, ticks, betas = tables.fills(spark, root), tables.prices(spark, root), tables.betas(spark, root)
+    snapshots, acts = tables.margin_events(spark, root), actions(spark, root, True)
+    stressed = stress.beta_stress(margin_flat(spark, root)).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    betas = betas.withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    trail = audit.audit_events(acts).withColumn("ts", F.col("timestamp"))
+    lines = [
+        df.select("ts", sinks.display_line(kind, df).alias("display_line"))
+        for kind, df in (
+            ("fill", fills), ("price", ticks), ("beta", betas), ("margin", snapshots), ("stress", stressed), ("audit", trail)
         )
-        .unionByName(acts.select("account_id", "ts", "display_line"))
-    )
+    ]
+    return reduce(DataFrame.unionByName, lines, sinks.display_actions(acts).select("ts", "display_line"))
 
 
 def dedup_fills(spark, root):
@@ -646,6 +678,8 @@ BATCH = {
         control_events,
         audit_events,
         audit_by_account,
+        audit_by_correlation,
+        audit_retained,
         audit_counts,
         liquidated_accounts,
         action_counts,
@@ -659,6 +693,7 @@ BATCH = {
         e2e_latency,
         liquidation_selection,
         liquidation_orders,
+        liquidation_order_lines,
         event_display_line,
     )
 }

@@ -100,8 +100,10 @@ CTE: dict[str, str] = {
         SELECT event_id AS "offset", ts, event_id % 10 AS lane, value, user_id, event_type,
                CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k,
                CASE WHEN event_id % 10 < 5 THEN 'fills.v1' WHEN event_id % 10 < 8 THEN 'prices.v1'
-                    WHEN event_id % 10 < 9 THEN 'betas.v1' ELSE 'orders.v1' END AS topic,
-               event_id % 50 = 0 AS broken, event_id % 10 IN (5, 6, 7) AND event_id % 70 = 6 AS mistyped
+                    WHEN event_id % 10 < 9 THEN 'betas.v1' WHEN event_id // 10 % 3 = 0 THEN 'orders.v1'
+                    WHEN event_id // 10 % 3 = 1 THEN 'margin.calc.v1' END AS topic,
+               event_id % 50 = 0 OR (event_id % 10 = 9 AND event_id // 10 % 3 = 1) AS broken,
+               event_id % 70 = 6 AS no_price, event_id % 70 = 3 AS odd_price
         FROM events""",
     # numbered snapshots: n orders an account's events
     "numbered": """
@@ -209,6 +211,11 @@ def _ladder(body: str, stress: bool = False, names: tuple[str, ...] = ()) -> str
     return _with((*names, *LADDER), body, _actions(stress))
 
 
+def _fixed(column: str) -> str:
+    """Two decimals, or a dash where unknown."""
+    return f"COALESCE(CAST(ROUND(CAST({column} AS DECIMAL(24, 6)), 2) AS VARCHAR), '-')"
+
+
 def _both_ladders(columns: str) -> str:
     margin = _ladder(f"SELECT {columns}, 'margin' AS variant FROM actions")
     combined = _ladder(f"SELECT {columns}, 'combined' AS variant FROM actions", True)
@@ -225,25 +232,27 @@ def _shock_path() -> str:
 
 
 def statements() -> dict[str, str]:
+    dead = _with(
+        ("messages",),
+        """SELECT topic, CASE WHEN lane < 5 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS key, "offset",
+                  CASE WHEN topic = 'orders.v1' OR topic IS NULL THEN 'UNKNOWN_TOPIC' WHEN broken THEN 'MALFORMED'
+                       WHEN no_price THEN 'MISSING_FIELD' ELSE 'MISTYPED_FIELD' END AS reason
+           FROM messages WHERE topic = 'orders.v1' OR topic IS NULL OR broken OR no_price OR odd_price""",
+    )
     return {
         "decode_events": _with(
             ("messages",),
             """SELECT "offset", CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol, k AS qty, value AS price,
                       epoch_us(ts) // 1000 AS "timestamp", CAST("offset" AS VARCHAR) AS fill_id
-               FROM messages WHERE topic = 'fills.v1' AND NOT broken""",
+               FROM messages WHERE topic = 'fills.v1' AND NOT broken AND NOT odd_price""",
         ),
         "route_by_topic": _with(
             ("messages",),
-            """SELECT topic, CASE WHEN topic = 'orders.v1' THEN 'dead' ELSE topic END AS route, COUNT(*) AS messages,
+            """SELECT topic, CASE WHEN topic = 'orders.v1' OR topic IS NULL THEN 'dead' ELSE topic END AS route, COUNT(*) AS messages,
                       MIN("offset") AS first, MAX("offset") AS last FROM messages GROUP BY topic""",
         ),
-        "dead_letters": _with(
-            ("messages",),
-            """SELECT topic, CASE WHEN lane < 5 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS key, "offset",
-                      CASE WHEN topic = 'orders.v1' THEN 'UNKNOWN_TOPIC' WHEN broken THEN 'MALFORMED'
-                           ELSE 'MISSING_FIELD' END AS reason
-               FROM messages WHERE topic = 'orders.v1' OR broken OR mistyped""",
-        ),
+        "dead_letters": dead,
+        "stream_dead_letters": dead,
         "dedup_fills": """
             SELECT sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
                        CAST(FLOOR(l_quantity * 100 + 5e-1) AS BIGINT), CAST(FLOOR(l_extendedprice * 100 + 5e-1) AS BIGINT),
@@ -509,6 +518,15 @@ def statements() -> dict[str, str]:
             """SELECT account_id, ts AS "timestamp", audit_id AS event_id, ROUND(deficiency, 8) AS deficiency
                FROM actions WHERE event_type = 'MARGIN_CALL_ISSUED'"""
         ),
+        "audit_by_correlation": _ladder(
+            """SELECT a.correlation_id, a.ts AS "timestamp", a.event_type, a.audit_id AS event_id, a.account_id FROM actions a
+               WHERE a.correlation_id IN (SELECT correlation_id FROM actions WHERE event_type = 'MARGIN_CALL_ISSUED')"""
+        ),
+        "audit_retained": _ladder(
+            """SELECT audit_id AS event_id, ts AS "timestamp", event_type, account_id FROM actions
+               WHERE ts > TIMESTAMP '2024-04-15 00:00:00' - INTERVAL 90 DAYS""",
+            True,
+        ),
         "audit_counts": _ladder("SELECT event_type, COUNT(*) AS events FROM actions GROUP BY event_type"),
         "liquidated_accounts": _ladder(
             "SELECT DISTINCT account_id FROM actions WHERE event_type = 'LIQUIDATION_TRIGGERED'"
@@ -579,46 +597,66 @@ def statements() -> dict[str, str]:
                      FROM valued v JOIN margin_cash m ON m.account_id = v.account_id WHERE m.excess < 0 AND v.qty > 0)
                WHERE before < deficiency * 1.1""",
         ),
+        "liquidation_order_lines": _with(
+            CASH,
+            """SELECT account_id, line_no, CAST(MAX(line_no) OVER (PARTITION BY account_id) // 500 + 1 AS INTEGER) AS pages,
+                      'MARGIN_DEFICIENCY' AS reason, ROUND(deficiency, 8) AS deficiency,
+                      TIMESTAMP '2024-02-01 00:00:00' AS "timestamp", symbol, qty, estimated_proceeds
+               FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY beta DESC, symbol) - 1 AS line_no
+                     FROM (SELECT v.account_id, v.symbol, v.qty, v.beta, v.market_value AS estimated_proceeds,
+                                  -m.excess AS deficiency, COALESCE(SUM(v.market_value) OVER (PARTITION BY v.account_id
+                                      ORDER BY v.beta DESC, v.symbol ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS before
+                           FROM valued v JOIN margin_cash m ON m.account_id = v.account_id WHERE m.excess < 0 AND v.qty > 0)
+                     WHERE before < deficiency * 1.1)""",
+        ),
         "event_display_line": _ladder(
-            """SELECT account_id, ts, strftime(ts, '[%H:%M:%S.%g] ') || 'FILL: ' || account_id || ' ' || printf('%+d', qty)
-                      || ' ' || symbol || ' @ $' || CAST(ROUND(CAST(price AS DECIMAL(24, 6)), 2) AS VARCHAR) AS display_line
-               FROM fills
-               UNION ALL
-               SELECT account_id, ts, strftime(ts, '[%H:%M:%S.%g] ') || 'MARGIN: ' || account_id || ' Equity=$'
-                      || format('{:,}', CAST(ROUND(CAST(equity AS DECIMAL(24, 6)), 0) AS BIGINT)) || ' Excess=$'
-                      || format('{:,}', CAST(ROUND(CAST(excess AS DECIMAL(24, 6)), 0) AS BIGINT))
-                      || CASE WHEN excess >= 0 THEN ' OK' ELSE ' SHORT' END
+            f"""SELECT ts, strftime(ts, '%H:%M:%S.%g') || ' fill account_id=' || account_id || ' symbol=' || symbol
+                      || ' qty=' || qty || ' price=' || {_fixed('price')} AS display_line FROM fills
+               UNION ALL SELECT ts, strftime(ts, '%H:%M:%S.%g') || ' price symbol=' || symbol || ' price=' || {_fixed('price')}
+               FROM prices
+               UNION ALL SELECT TIMESTAMP '2024-01-01', '00:00:00.000 beta symbol=' || symbol || ' beta=' || {_fixed('beta')}
+               FROM betas
+               UNION ALL SELECT ts, strftime(ts, '%H:%M:%S.%g') || ' margin account_id=' || account_id || ' equity='
+                      || {_fixed('equity')} || ' maintenance_req=' || {_fixed('maintenance_req')} || ' excess=' || {_fixed('excess')}
                FROM margin_events
+               UNION ALL SELECT TIMESTAMP '2024-01-01', '00:00:00.000 stress account_id=' || account_id || ' scenario='
+                      || {_fixed('scenario')} || ' excess_stressed=' || {_fixed('excess_stressed')} || ' underwater='
+                      || CASE WHEN excess_stressed < 0 THEN 'true' ELSE 'false' END
+               FROM stress_flat
+               UNION ALL SELECT ts, strftime(ts, '%H:%M:%S.%g') || ' audit account_id=' || account_id || ' event_type='
+                      || event_type || ' correlation_id=' || correlation_id FROM actions
                UNION ALL
-               SELECT account_id, ts, strftime(ts, '[%H:%M:%S.%g] ') || CASE topic
-                      WHEN 'margin.calls.v1' THEN 'MARGIN CALL: ' || account_id || ' ' || action || ' Deficiency=$'
-                          || format('{:,}', CAST(ROUND(CAST(COALESCE(deficiency, 0.0) AS DECIMAL(24, 6)), 0) AS BIGINT))
-                      WHEN 'restrictions.v1' THEN 'RESTRICTION: ' || account_id || ' ' || action || ' - ' || reason
-                      ELSE 'LIQUIDATION: ' || account_id || ' Trigger=' || trigger END
+               SELECT ts, strftime(ts, '%H:%M:%S.%g') || CASE topic
+                      WHEN 'margin.calls.v1' THEN ' call account_id=' || account_id || ' action=' || action
+                          || ' deficiency=' || {_fixed('deficiency')} || ' excess=' || {_fixed('excess')}
+                      WHEN 'restrictions.v1' THEN ' restriction account_id=' || account_id || ' action=' || action
+                          || ' reason=' || reason || ' scenario=' || {_fixed('scenario')}
+                      ELSE ' liquidation account_id=' || account_id || ' trigger=' || trigger
+                          || ' deficiency=' || {_fixed('deficiency')} END
                FROM actions""",
             True,
-            FILLS,
+            STRESS_FLAT,
         ),
         "stream_fills": _with(
             ("messages",),
             """SELECT CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol, CAST(SUM(k) AS BIGINT) AS qty,
                       MAX(ts) AS last_updated
-               FROM messages WHERE topic = 'fills.v1' AND NOT broken GROUP BY 1, 2""",
+               FROM messages WHERE topic = 'fills.v1' AND NOT broken AND NOT odd_price GROUP BY 1, 2""",
         ),
         "stream_late": _with(
             ("messages",),
             """SELECT CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol, CAST(SUM(k) AS BIGINT) AS qty
-               FROM messages WHERE topic = 'fills.v1' AND NOT broken GROUP BY 1, 2""",
+               FROM messages WHERE topic = 'fills.v1' AND NOT broken AND NOT odd_price GROUP BY 1, 2""",
         ),
         "stream_prices": _with(
             ("messages",),
             """SELECT event_type AS symbol, ARG_MAX(value, (ts, "offset")) AS price, MAX(ts) AS last_updated
-               FROM messages WHERE topic = 'prices.v1' AND NOT mistyped GROUP BY 1""",
+               FROM messages WHERE topic = 'prices.v1' AND NOT no_price GROUP BY 1""",
         ),
         "stream_dedup": _with(
             ("messages",),
             """SELECT CAST("offset" AS VARCHAR) AS fill_id, CAST(user_id AS VARCHAR) AS account_id, event_type AS symbol,
-                      k AS qty, ts FROM messages WHERE topic = 'fills.v1' AND NOT broken""",
+                      k AS qty, ts FROM messages WHERE topic = 'fills.v1' AND NOT broken AND NOT odd_price""",
         ),
         "stream_state": _with(
             (*PRICES, "betas", "positions", "last_price"),
@@ -638,6 +676,12 @@ def statements() -> dict[str, str]:
                       UNION ALL SELECT account_id, scenario, scenario_type, NULL, NULL, NULL, NULL, ROUND(portfolio_pnl, 8)
                       FROM grid)""",
         ),
+        "stream_progress": _with(
+            ("messages",),
+            """SELECT 'positions' AS query, CAST((SELECT COUNT(*) FROM messages) AS BIGINT) AS input_rows,
+                      COUNT(DISTINCT (user_id, event_type)) AS state_rows
+               FROM messages WHERE topic = 'fills.v1' AND NOT broken AND NOT odd_price""",
+        ),
         "stream_ladder": _ladder(f"SELECT {ACTION} FROM actions"),
         "stream_ladder_combined": _ladder(f"SELECT {ACTION} FROM actions", True),
     }

@@ -20,7 +20,7 @@ from ballast.sources import events as wire
 from ballast.sources import tables
 from ballast.streaming import enforcement, feeds
 from ballast.streaming import margin as margin_stream
-from ballast.streaming.progress import progress_frame
+from ballast.streaming.progress import append_progress
 from ballast.streaming.versions import VersionedTable
 
 ONCE = {"availableNow": True}
@@ -89,23 +89,38 @@ def stream_late(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
-    """Fills after dropping those delivered twice; every third message is sent again at once."""
+    """Each fill once: newest days come first, so the rest is late, and every third message is sent again a slice later."""
     home = work_folder(spark, "dedup")
-    messages = wire.replay_messages(tables.table(spark, root, "events"))
-    again = messages.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("offset") % 3 == 0, 2).otherwise(1))))
-    again.drop("copy").write.mode("append").parquet(f"{home}/in")
-    fills = wire.read_events(spark, {"path": f"{home}/in"}, TOPIC_FILLS, watermark=None)
-    query = (
-        feeds.dedup(fills)
-        .writeStream.option("checkpointLocation", f"{home}/checkpoint")
-        .trigger(**ONCE)
-        .format("parquet")
-        .start(f"{home}/out")
-    )
-    query.awaitTermination()
+    messages = wire.replay_messages(tables.table(spark, root, "events")).withColumn("slice", F.lit(2) - _day_third())
+    again = messages.filter(F.col("offset") % 3 == 0).withColumn("slice", F.col("slice") + 1)
+
+    def start():
+        fills = wire.read_events(spark, {"path": f"{home}/in"}, TOPIC_FILLS, watermark=None)
+        return (
+            feeds.dedup(fills)
+            .writeStream.option("checkpointLocation", f"{home}/checkpoint")
+            .trigger(**ONCE)
+            .format("parquet")
+            .start(f"{home}/out")
+        )
+
+    _slices(messages.union(again), F.col("slice"), range(4), f"{home}/in", start)
     return spark.read.parquet(f"{home}/out").select("fill_id", "account_id", "symbol", "qty", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+def stream_dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """What the running stream cannot use, as its own query keeps it."""
+    home = work_folder(spark, "dead")
+    messages = wire.replay_messages(tables.table(spark, root, "events"))
+
+    def start():
+        sent = wire.read_messages(spark, {"path": f"{home}/in"})
+        return wire.write_dead_letters(sent, f"{home}/out", f"{home}/checkpoint", ONCE)
+
+    _slices(messages, F.col("offset") % 2, range(2), f"{home}/in", start)
+    return spark.read.parquet(f"{home}/out").select("topic", "key", "offset", "reason")
+
+
 # margin --------------------------------------------------------------------
 
 
@@ -210,18 +225,24 @@ def stream_ladder_combined(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_progress(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that a query over three slices says it has read, and keys that its state holds at the end."""
     home = work_folder(spark, "progress")
     messages = wire.replay_messages(tables.table(spark, root, "events"))
-    messages.write.parquet(f"{home}/in")
-    table = VersionedTable(f"{home}/state", ["account_id", "symbol"], bucket_by="symbol", buckets=FEW)
-    query = _drain(
-        lambda: _upserts(
-            feeds.running_positions(wire.read_events(spark, {"path": f"{home}/in"}, TOPIC_FILLS)),
-            table,
-            f"{home}/checkpoint",
-        )
+
+    def start():
+        rows = wire.read_events(spark, {"path": f"{home}/in"}, TOPIC_FILLS)
+        return (
+            feeds.running_positions(rows).writeStream.outputMode("update").queryName("positions")
+            .option("checkpointLocation", f"{home}/checkpoint").trigger(**ONCE).format("noop").start()
+        )
+
+    for part in range(3):
+        messages.filter(F.col("offset") % 3 == part).write.mode("append").parquet(f"{home}/in")
+        append_progress(spark, _drain(start), f"{home}/metrics")
+    batches = spark.read.parquet(f"{home}/metrics")
+    return batches.groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"), F.max_by("state_rows", "batch_id").alias("state_rows")
     )
-    return progress_frame(spark, query)
 
 
 STREAMS = {
@@ -231,6 +252,7 @@ STREAMS = {
         stream_prices,
         stream_late,
         stream_dedup,
+        stream_dead_letters,
         stream_state,
         margin_json,
         stress_json,

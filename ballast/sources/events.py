@@ -7,21 +7,28 @@ tests; both come through ``read_messages``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ballast.params import DEFAULT, TOPIC_FILLS, TOPIC_PRICES, TOPIC_BETAS
+from ballast import params as p
+from ballast.params import DEFAULT, TOPIC_BETAS, TOPIC_FILLS, TOPIC_MARGIN, TOPIC_PRICES
 from ballast.schemas import BY_TOPIC
 
 MESSAGE = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP"
 CORRUPT = "_corrupt"
 
-# what a usable message of a topic must carry
+# what a usable message of a topic must carry; a fill without price still moves a position
 REQUIRED = {
     TOPIC_FILLS: ("account_id", "symbol", "qty", "timestamp"),
     TOPIC_PRICES: ("symbol", "price", "timestamp"),
     TOPIC_BETAS: ("symbol", "beta", "timestamp"),
+    p.TOPIC_MARGIN: ("account_id",),
+    p.TOPIC_STRESS: ("account_id", "scenario"),
+    p.TOPIC_CALLS: ("account_id", "action"),
+    p.TOPIC_RESTRICTIONS: ("account_id", "action"),
+    p.TOPIC_LIQUIDATIONS: ("account_id",),
+    p.TOPIC_AUDIT: ("event_id", "event_type"),
 }
 
 
@@ -47,38 +54,32 @@ def read_messages(spark: SparkSession, options: dict[str, str], streaming: bool
     )
 
 
-def decode(messages: DataFrame, schema: str) -> DataFrame:
-    """JSON value to columns, beside ``ts`` (time of the record) and ``seq`` (its offset).
+def parsed(topic: str) -> Column:
+    """The value as the topic's fields. A missing field or one of the wrong type is NULL; the latter fills CORRUPT too."""
+    wire = T._parse_datatype_string(f"{BY_TOPIC[topic]}, {CORRUPT} STRING")
+    return F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
-    Missing fields and fields of the wrong type become NULL; so does every
-    field of a value that is no JSON, which is then kept in CORRUPT.
-    """
-    wire = T._parse_datatype_string(f"{schema}, {CORRUPT} STRING")
-    parsed = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return messages.select(
-        F.col("timestamp").alias("ts"),
-        F.col("offset").alias("seq"),
-        "topic",
-        "key",
-        "value",
-        parsed.alias("data"),
-    ).select("ts", "seq", "topic", "key", "value", "data.*")
-
-
-def topic_rows(messages: DataFrame, topic: str) -> DataFrame:
-    return decode(messages.filter(F.col("topic") == topic), BY_TOPIC[topic])
 
-
-def _usable(topic: str):
-    ok = F.col(CORRUPT).isNull()
-    for field in REQUIRED.get(topic, ()):
-        ok = ok & F.col(field).isNotNull()
-    return ok
+def fault(topic: str, data: Column) -> Column:
+    """Why a message of a known topic cannot be used, or NULL. Usable rows and dead letters both follow from this."""
+    lacking = F.lit(False)
+    for field in REQUIRED[topic]:
+        lacking = lacking | data[field].isNull()
+    return (
+        F.when(F.col("value").isNull() | F.try_parse_json("value").isNull(), "MALFORMED")
+        .when(lacking, "MISSING_FIELD")
+        .when(data[CORRUPT].isNotNull(), "MISTYPED_FIELD")
+    )
 
 
 def usable_rows(messages: DataFrame, topic: str) -> DataFrame:
-    """Decoded rows of one topic that carry all they need; the rest are dead letters."""
-    return topic_rows(messages, topic).filter(_usable(topic)).drop("topic", "key", "value", CORRUPT)
+    """Decoded rows of one topic that carry all they need, beside ``ts`` (time of the record) and ``seq`` (its offset)."""
+    own = messages.filter(F.col("topic") == topic).withColumn("data", parsed(topic))
+    return (
+        own.filter(fault(topic, F.col("data")).isNull())
+        .select(F.col("timestamp").alias("ts"), F.col("offset").alias("seq"), "data.*")
+        .drop(CORRUPT)
+    )
 
 
 def read_events(
@@ -99,37 +100,61 @@ def routed(messages: DataFrame) -> DataFrame:
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
-    """Messages nobody can process, with the reason. One pass over the messages."""
-    reason = F.when(~F.col("topic").isin(*BY_TOPIC), "UNKNOWN_TOPIC")
-    for topic, fields in REQUIRED.items():
-        schema = T._parse_datatype_string(f"{BY_TOPIC[topic]}, {CORRUPT} STRING")
-        data = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        here = F.col("topic") == topic
-        lacking = F.lit(False)
-        for field in fields:
-            lacking = lacking | data[field].isNull()
-        # a field of the wrong type also fills the corrupt column, beside the fields that did parse
-        unparsed = F.col("value").isNull() | F.try_parse_json("value").isNull()
-        reason = reason.when(here & unparsed, "MALFORMED").when(here & lacking, "MISSING_FIELD")
+    """Messages nobody can process, with the reason. One pass over the messages, batch or stream."""
+    reason = F.when(F.col("topic").isNull() | ~F.col("topic").isin(*BY_TOPIC), "UNKNOWN_TOPIC")
+    for topic in BY_TOPIC:
+        reason = reason.when(F.col("topic") == topic, fault(topic, parsed(topic)))
     return messages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
+def write_dead_letters(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Start the query that keeps a stream's dead letters as files, beside the queries on its topics."""
+    return (
+        dead_letters(messages)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .queryName("dead_letters")
+        .format("parquet")
+        .start(path)
+    )
+
+
 def replay_messages(events: DataFrame) -> DataFrame:
     """Wire messages made from the event table, a few of them unusable.
 
     Ten event ids in turn: five fills, three prices, one beta, one of a topic
-    without handler. Every 50th lacks its closing brace; every 70th, shifted
-    by 6, has text where a number belongs.
+    without handler, without topic or of the margin topic (in thirds; the last
+    lacks its closing brace). Every 50th lacks its closing brace; every 70th has
+    text where a number belongs: shifted by 6 in a price, by 3 in a fill's
+    price, which a fill can do without.
     """
     lane = F.col("event_id") % F.lit(10)
+    third = F.floor(F.col("event_id") / F.lit(10)) % 3
     topic = (
-        F.when(lane < 5, TOPIC_FILLS).when(lane < 8, TOPIC_PRICES).when(lane < 9, TOPIC_BETAS).otherwise("orders.v1")
+        F.when(lane < 5, TOPIC_FILLS)
+        .when(lane < 8, TOPIC_PRICES)
+        .when(lane < 9, TOPIC_BETAS)
+        .when(third == 0, "orders.v1")
+        .when(third == 1, TOPIC_MARGIN)
     )
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     number = F.get_json_object("props", "$.k").cast("int")
     account, symbol = F.col("user_id").cast("string"), F.col("event_type")
     body = (
         F.when(
+            F.col("event_id") % F.lit(70) == 3,
+            F.to_json(
+                F.struct(
+                    account.alias("account_id"),
+                    symbol.alias("symbol"),
+                    number.alias("qty"),
+                    F.lit("n/a").alias("price"),
+                    ms.alias("timestamp"),
+                    F.col("event_id").cast("string").alias("fill_id"),
+                )
+            ),
+        )
+        .when(
             lane < 5,
             F.to_json(
                 F.struct(
@@ -160,7 +185,8 @@ def replay_messages(events: DataFrame) -> DataFrame:
             )
         )
     )
-    value = F.when(F.col("event_id") % F.lit(50) == 0, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
+    cut = (F.col("event_id") % F.lit(50) == 0) | ((lane == 9) & (third == 1))
+    value = F.when(cut, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
     return (
         events.withColumn("body", body)
         .withColumn("topic", topic)

@@ -27,21 +27,26 @@ def _row(progress) -> tuple:
 
 
 def progress_frame(spark: SparkSession, query) -> DataFrame:
-    """Metrics of the query's recent micro-batches (Spark keeps a bounded number)."""
+    """Metrics of the query's recent micro-batches. Spark keeps the newest hundred; ProgressLog keeps all."""
     return spark.createDataFrame([_row(p) for p in query.recentProgress], METRICS)
 
 
+def append_progress(spark: SparkSession, query, path: str) -> None:
+    """Add the metrics of a query that has ended to a folder; for a query of few micro-batches."""
+    progress_frame(spark, query).write.mode("append").parquet(path)
+
+
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last ``keep`` progress rows of all queries of a session."""
+    """Appends the metrics of every micro-batch of a session's queries to a folder of JSON files, one per batch."""
 
-    def __init__(self, keep: int = 1000):
-        self.keep, self.rows = keep, []
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        self.rows = [*self.rows, _row(event.progress)][-self.keep :]
+        self.spark.createDataFrame([_row(event.progress)], METRICS).coalesce(1).write.mode("append").json(self.path)
 
     def onQueryIdle(self, event):
         pass
@@ -49,5 +54,5 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, METRICS)
+    def frame(self) -> DataFrame:
+        return self.spark.read.schema(METRICS).json(self.path)

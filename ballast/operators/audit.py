@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballast.functions.columns import dollars_text, hour_parts, micros, stable_id
+from ballast.functions.columns import dollars_text, guarded_ratio, hour_parts, micros, stable_id
 from ballast.functions.skew import lookup_join
 from ballast.operators.asof import as_of
 from ballast.operators.ladder import severity
@@ -13,8 +13,13 @@ from ballast.params import DEFAULT, SCALE, TOPIC_CALLS, RiskParams, Scale
 
 
 def audit_events(actions: DataFrame) -> DataFrame:
-    """One audit row per action, tied to its control event by the correlation id."""
+    """One audit row per action, tied to its control event by the correlation id and to its snapshot by the causation id.
+
+    The details are those that belong to the kind of action; the others are null.
+    """
     kind = F.col("event_type")
+    warned, restricted = kind == "WARNING_ISSUED", kind.isin("RESTRICTION_APPLIED", "STRESS_RESTRICTION")
+    on_call = F.col("topic") == TOPIC_CALLS
     why = F.when(kind == "RESTRICTION_APPLIED", "Margin call escalation").when(
         kind == "STRESS_RESTRICTION", "Stress test failure"
     )
@@ -23,11 +28,21 @@ def audit_events(actions: DataFrame) -> DataFrame:
         "event_type",
         "account_id",
         F.col("ts").alias("timestamp"),
-        F.struct("deficiency", "excess", "equity", "maintenance_req", "scenario", why.alias("reason")).alias(
-            "details"
-        ),
+        F.struct(
+            "deficiency",
+            F.when(on_call, F.col("excess")).alias("excess"),
+            F.when(warned, guarded_ratio(F.col("excess"), F.col("total_mv"))).alias("excess_pct"),
+            F.when(on_call, F.col("equity")).alias("equity"),
+            F.when(on_call, F.col("maintenance_req")).alias("maintenance_req"),
+            "elapsed_minutes",
+            "scenario",
+            "excess_stressed",
+            F.when(restricted, F.col("action")).alias("action"),
+            "trigger",
+            why.alias("reason"),
+        ).alias("details"),
         "correlation_id",
-        F.col("event_id").alias("causation_id"),
+        F.col("event_id").cast("string").alias("causation_id"),
     )
 
 

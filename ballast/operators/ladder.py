@@ -5,10 +5,17 @@ few first moments: the first thin cushion, the first shortfall, the first
 severe stress failure, and the first shortfall more than the escalation time
 after the call. Each is a MIN over (ts, event_id), combined map-side, so an
 account with a third of all events still sends one row per task.
+
+A state row lives for ``state_ttl_days``; an account whose last one has run
+out by the time of a snapshot starts anew. `ladder_span` walks a span no
+longer than that, in which a state can run out once at most: the one brought
+along. `ladder` walks any history, span after span.
 """
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +35,7 @@ from ballast.params import (
     RiskParams,
     Scale,
 )
+from ballast.session import work_folder
 
 ACTIVE, WARNING, MARGIN_CALL, RESTRICTED = "ACTIVE", "WARNING", "MARGIN_CALL", "RESTRICTED"
 
@@ -58,12 +66,40 @@ def ladder(
     prior: DataFrame | None = None,
     scale: Scale = SCALE,
 ) -> DataFrame:
-    """Actions taken over margin snapshots.
+    """Actions taken over margin snapshots; see `ladder_span`.
+
+    Snapshots over more than ``state_ttl_days`` are walked in spans of that length, each reading its own part of the
+    events and the actions of the span before, which are written to the shared folder: what lies further back has
+    run out.
+    """
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    length = timedelta(days=params.state_ttl_days)
+    if first is None or last < first + length:
+        return ladder_span(events, params, stress, prior, scale)
+    spark, folder = events.sparkSession, work_folder(events.sparkSession, "spans")
+    number = 0
+    while first <= last:
+        begin, end = (F.lit(t).cast(events.schema["ts"].dataType) for t in (first, first + length))
+        taken = ladder_span(events.filter((F.col("ts") >= begin) & (F.col("ts") < end)), params, stress, prior, scale)
+        taken.write.parquet(f"{folder}/span={number}")
+        prior = latest_state(state_history(spark.read.schema(taken.schema).parquet(f"{folder}/span={number}"), params))
+        first, number = first + length, number + 1
+    return spark.read.schema(taken.schema).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def ladder_span(
+    events: DataFrame,
+    params: RiskParams = DEFAULT,
+    stress: bool = False,
+    prior: DataFrame | None = None,
+    scale: Scale = SCALE,
+) -> DataFrame:
+    """Actions taken over margin snapshots that span at most ``state_ttl_days``.
 
     stress: also restrict on a severe stress failure; the margin rule of a
     snapshot comes before its stress rule.
-    prior: latest state per account (account_id, status, margin_call_issued_at)
-    reached before these events.
+    prior: latest state per account (account_id, status,
+    margin_call_issued_at, ttl) reached before these events.
     """
     failure = _stress_failure(params) if stress else F.lit(None).cast("struct<scenario:double,excess_stressed:double>")
     rows = events.withColumn("_failure", failure).select(
@@ -76,26 +112,42 @@ def ladder(
     short = F.col("excess") < 0
     failed = F.col("scenario").isNotNull()
     rows = rows.filter(thin | short | failed)
+    escalation = F.expr(f"INTERVAL {int(params.escalation_minutes)} MINUTES")
+
+    snapshot = F.struct(*SNAPSHOT)
+
+    def firsts_of(among: Column) -> list[Column]:
+        kinds = {"warned": thin, "called": short, "failed": failed}
+        return [F.min(F.when(among & flag, snapshot)).alias(name) for name, flag in kinds.items()]
+
     if prior is None:
-        rows = rows.withColumn("status", F.lit(ACTIVE)).withColumn(
-            "issued_before", F.lit(None).cast(events.schema["ts"].dataType)
+        firsts = rows.groupBy("account_id").agg(
+            *firsts_of(F.lit(True)),
+            F.lit(ACTIVE).alias("status"),
+            F.lit(None).cast(events.schema["ts"].dataType).alias("issued_before"),
         )
     else:
-        known = prior.select("account_id", "status", F.col("margin_call_issued_at").alias("issued_before"))
-        rows = (
-            lookup_join(rows, known, "account_id", spread=["event_id"], scale=scale)
-            .withColumn("status", F.coalesce("status", F.lit(ACTIVE)))
-            .filter(F.col("status") != RESTRICTED)
+        known = prior.select("account_id", "status", F.col("margin_call_issued_at").alias("issued_before"), "ttl")
+        rows = lookup_join(rows, known, "account_id", spread=["event_id"], scale=scale)
+        alive = F.coalesce(F.col("ts") < F.col("ttl"), F.lit(False))
+        rows = rows.filter(~alive | (F.col("status") != RESTRICTED))
+        # a step before the state runs out renews it past the end of the span; without one the account starts anew
+        called = F.col("status") == MARGIN_CALL
+        step = failed | (short & F.when(called, F.col("ts") > F.col("issued_before") + escalation).otherwise(True))
+        ages = rows.groupBy("account_id").agg(
+            F.struct(*firsts_of(F.lit(True))).alias("on"),
+            F.struct(*firsts_of(~alive)).alias("anew"),
+            F.bool_or(alive & step).alias("renewed"),
+            F.max("status").alias("status"),
+            F.max("issued_before").alias("issued_before"),
+        )
+        moments = F.when(F.col("renewed"), F.col("on")).otherwise(F.col("anew"))
+        firsts = ages.select(
+            "account_id",
+            *[moments[name].alias(name) for name in ("warned", "called", "failed")],
+            F.when(F.col("renewed"), F.col("status")).otherwise(F.lit(ACTIVE)).alias("status"),
+            F.when(F.col("renewed"), F.col("issued_before")).alias("issued_before"),
         )
-
-    snapshot = F.struct(*SNAPSHOT)
-    firsts = rows.groupBy("account_id").agg(
-        F.min(F.when(thin, snapshot)).alias("warned"),
-        F.min(F.when(short, snapshot)).alias("called"),
-        F.min(F.when(failed, snapshot)).alias("failed"),
-        F.max("status").alias("status"),
-        F.max("issued_before").alias("issued_before"),
-    )
     until_failure = lambda moment: F.col("failed").isNull() | (_at(moment) <= _at("failed"))
     uncalled = F.col("status") != MARGIN_CALL
     firsts = (
@@ -113,7 +165,6 @@ def ladder(
         .select("account_id", F.struct("warned", "called", "failed", "issued_at").alias("first"))
     )
     # second look at the shortfalls, now that the time of the call is known
-    escalation = F.expr(f"INTERVAL {int(params.escalation_minutes)} MINUTES")
     stale = (
         short
         & (F.col("ts") > F.col("first.issued_at") + escalation)
@@ -124,7 +175,7 @@ def ladder(
     )
     walked = (
         lookup_join(
-            rows.drop("status", "issued_before"), firsts, "account_id", spread=["event_id"], how="inner", scale=scale
+            rows.select("account_id", *SNAPSHOT), firsts, "account_id", spread=["event_id"], how="inner", scale=scale
         )
         .groupBy("account_id")
         .agg(F.any_value("first").alias("first"), F.min(F.when(stale, snapshot)).alias("restricted"))

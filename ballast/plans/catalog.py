@@ -110,9 +110,11 @@ def backtest_replay(spark, root):
 def audit_scan_pruned(spark, root):
     folder = work_folder(spark, "audit")
     sinks.write_audit(audit.audit_events(actions(spark, root)), folder)
-    log = files.audit_day(files.audit_log(spark, folder, "BIGINT"), 2024, 1)
-    return log.groupBy("day", "event_type").agg(
-        F.count(F.lit(1)).alias("events"), F.count("details.deficiency").alias("with_deficiency")
+    log = files.audit_day(files.audit_log(spark, folder, "BIGINT"), 2024, 1, 16)
+    return log.groupBy("hour", "event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count("details.deficiency").alias("with_deficiency"),
+        F.count_distinct("causation_id").alias("causes"),
     )
 
 
@@ -415,6 +417,16 @@ def ladder_combined(spark, root):
     )
 
 
+def spread_out(snapshots: DataFrame) -> DataFrame:
+    """Fixture: the month of snapshots over four, so that states run out between an account's events."""
+    return snapshots.withColumn("ts", F.expr("ts + make_dt_interval(CAST(event_id % 5 * 20 AS INT))"))
+
+
+def ladder_expiry(spark, root):
+    taken = enforcement.ladder(spread_out(tables.margin_events(spark, root)), stress=True)
+    return _rounded(taken.select(*ACTION_COLUMNS), "deficiency", "excess", "excess_stressed")
+
+
 def warning_candidates(spark, root):
     events = tables.margin_events(spark, root)
     return _rounded(
@@ -436,7 +448,8 @@ def audit_events(spark, root):
     rows = audit.audit_events(actions(spark, root, True)).select(
         "event_id", "event_type", "account_id", "timestamp", "details.*", "correlation_id", "causation_id"
     )
-    return _rounded(rows, "deficiency", "excess", "equity", "maintenance_req")
+    amounts = ("deficiency", "excess", "equity", "maintenance_req", "excess_stressed")
+    return _rounded(_rounded(rows, *amounts), "excess_pct", "elapsed_minutes", places=6)
 
 
 def audit_by_account(spark, root):
@@ -507,12 +520,19 @@ def state_lookup(spark, root):
     )
 
 
+def in_month(rows: DataFrame) -> DataFrame:
+    """Fixture: fills and ticks dealt over the days of the calls' month, so that some come before a call and some after."""
+    return rows.withColumn(
+        "ts", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(CAST(pmod(datediff(ts, date'1992-01-01'), 30) AS INT))")
+    )
+
+
 def trace_call(spark, root):
     traced = audit.trace_call(
         actions(spark, root),
         tables.margin_events(spark, root),
-        tables.prices(spark, root),
-        tables.trades(spark, root),
+        in_month(tables.prices(spark, root)),
+        in_month(tables.trades(spark, root)),
         hot=hot_symbols(spark, root),
     )
     return _rounded(
@@ -533,7 +553,7 @@ def trace_call(spark, root):
 
 
 def e2e_latency(spark, root):
-    return audit.end_to_end_latency(actions(spark, root), tables.trades(spark, root)).select(
+    return audit.end_to_end_latency(actions(spark, root), in_month(tables.trades(spark, root))).select(
         "account_id", "ts", "fill_ts", "latency_seconds"
     )
 
@@ -674,6 +694,7 @@ BATCH = {
         asof_prior_price,
         ladder_margin,
         ladder_combined,
+        ladder_expiry,
         warning_candidates,
         control_events,
         audit_events,

@@ -7,6 +7,11 @@ rounded as in the catalog.
 from __future__ import annotations
 
 CTE: dict[str, str] = {
+    # fills and ticks on the days of the month in which the calls lie
+    "in_month": """
+        SELECT * REPLACE (TIMESTAMP '2024-01-01'
+            + to_days(CAST((date_diff('day', DATE '1992-01-01', CAST(ts AS DATE)) % 30 + 30) % 30 AS INTEGER)) AS ts)
+        FROM fills""",
     "fills": """
         SELECT o.o_custkey AS account_id, l.l_partkey AS symbol,
                CAST(l.l_quantity AS INTEGER) * (CASE WHEN l.l_returnflag = 'R' THEN -1 ELSE 1 END) AS qty,
@@ -109,8 +114,8 @@ CTE: dict[str, str] = {
     "numbered": """
         SELECT *, ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY ts, event_id) AS n,
                excess >= 0 AND excess < total_mv * 5e-2 AS thin, excess < 0 AS short,
-               CASE WHEN equity + beta_weighted_exposure * -8e-2 - maintenance_req < 0 THEN -8e-2
-                    WHEN equity + beta_weighted_exposure * -6e-2 - maintenance_req < 0 THEN -6e-2
+               CASE WHEN equity + beta_weighted_exposure * CAST(-0.08 AS DOUBLE) - maintenance_req < 0 THEN CAST(-0.08 AS DOUBLE)
+                    WHEN equity + beta_weighted_exposure * CAST(-0.06 AS DOUBLE) - maintenance_req < 0 THEN CAST(-0.06 AS DOUBLE)
                     WHEN equity + beta_weighted_exposure * 6e-2 - maintenance_req < 0 THEN 6e-2 END AS failed_at
         FROM margin_events""",
 }
@@ -202,6 +207,15 @@ CONTROL = """topic, account_id, action, trigger, reason, ROUND(deficiency, 8) AS
     scenario, ROUND(excess_stressed, 8) AS excess_stressed, ts AS "timestamp", correlation_id"""
 
 
+# per call the fills up to it, newest first, with the first one of the same position
+LAST_FILL = """SELECT c.account_id, c.ts AS call_ts, m.symbol, m.ts,
+        MIN(m.ts) OVER (PARTITION BY c.account_id, m.symbol) AS opening_fill_ts,
+        ROW_NUMBER() OVER (PARTITION BY c.account_id
+            ORDER BY m.ts DESC, m.l_orderkey DESC, m.l_linenumber DESC, m.l_suppkey DESC) AS rn
+    FROM actions c JOIN in_month m ON m.account_id = c.account_id AND m.ts <= c.ts
+    WHERE c.event_type = 'MARGIN_CALL_ISSUED'"""
+
+
 def _with(names: tuple[str, ...], body: str, extra: dict[str, str] | None = None) -> str:
     parts = [f"{n} AS ({CTE[n]})" for n in names] + [f"{n} AS ({sql})" for n, sql in (extra or {}).items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + body
@@ -211,6 +225,50 @@ def _ladder(body: str, stress: bool = False, names: tuple[str, ...] = ()) -> str
     return _with((*names, *LADDER), body, _actions(stress))
 
 
+def _expiry() -> str:
+    """The combined ladder one snapshot at a time; a state written 30 days ago or more is forgotten."""
+    walk = """
+        SELECT DISTINCT account_id, CAST(0 AS BIGINT) AS n, 'ACTIVE' AS status, CAST(NULL AS TIMESTAMP) AS issued,
+               CAST(NULL AS TIMESTAMP) AS wrote, CAST(NULL AS VARCHAR) AS step, FALSE AS stressed
+        FROM numbered
+        UNION ALL
+        SELECT account_id, n,
+               CASE WHEN stressed OR step = 'RESTRICTION_APPLIED' THEN 'RESTRICTED' WHEN step = 'MARGIN_CALL_ISSUED'
+                    THEN 'MARGIN_CALL' WHEN step = 'WARNING_ISSUED' THEN 'WARNING' ELSE status END,
+               CASE WHEN step = 'MARGIN_CALL_ISSUED' THEN ts ELSE issued END,
+               CASE WHEN stressed OR step IS NOT NULL THEN ts ELSE wrote END, step, stressed
+        FROM (SELECT *, failed_at IS NOT NULL AND status <> 'RESTRICTED'
+                     AND step IS DISTINCT FROM 'RESTRICTION_APPLIED' AS stressed
+              FROM (SELECT *, CASE WHEN thin AND status = 'ACTIVE' THEN 'WARNING_ISSUED'
+                                   WHEN short AND status IN ('ACTIVE', 'WARNING') THEN 'MARGIN_CALL_ISSUED'
+                                   WHEN short AND status = 'MARGIN_CALL' AND ts > issued + INTERVAL 30 MINUTES
+                                        THEN 'RESTRICTION_APPLIED' END AS step
+                    FROM (SELECT e.account_id, e.n, e.ts, e.thin, e.short, e.failed_at, w.issued, w.wrote,
+                                 CASE WHEN w.wrote + INTERVAL 30 DAYS > e.ts THEN w.status ELSE 'ACTIVE' END AS status
+                          FROM walk w JOIN numbered e ON e.account_id = w.account_id AND e.n = w.n + 1)))"""
+    numbered = CTE["numbered"].replace("FROM margin_events", "FROM spread")
+    return f"""WITH RECURSIVE margin_events AS ({CTE["margin_events"]}),
+    spread AS (SELECT * REPLACE (ts + to_days(CAST(event_id % 5 * 20 AS INTEGER)) AS ts) FROM margin_events),
+    numbered AS ({numbered}),
+    walk AS ({walk}),
+    steps AS (
+        SELECT account_id, n, issued, step AS event_type, CASE step WHEN 'WARNING_ISSUED' THEN 'WARNING'
+                   WHEN 'MARGIN_CALL_ISSUED' THEN 'MARGIN_CALL' ELSE 'RESTRICTED' END AS status
+        FROM walk WHERE step IS NOT NULL
+        UNION ALL SELECT w.account_id, w.n, w.issued, 'LIQUIDATION_TRIGGERED', 'RESTRICTED'
+        FROM walk w JOIN numbered e ON e.account_id = w.account_id AND e.n = w.n
+        WHERE w.step = 'RESTRICTION_APPLIED' AND -e.excess > e.maintenance_req * 0.5
+        UNION ALL SELECT account_id, n, NULL, 'STRESS_RESTRICTION', 'RESTRICTED' FROM walk WHERE stressed)
+    SELECT s.account_id, e.ts, e.event_id, s.event_type, s.status,
+           CASE WHEN s.event_type NOT IN ('WARNING_ISSUED', 'STRESS_RESTRICTION') THEN ROUND(-e.excess, 8) END AS deficiency,
+           CASE WHEN s.event_type <> 'STRESS_RESTRICTION' THEN ROUND(e.excess, 8) END AS excess,
+           CASE WHEN s.event_type = 'STRESS_RESTRICTION' THEN e.failed_at END AS scenario,
+           CASE WHEN s.event_type = 'STRESS_RESTRICTION' THEN ROUND(e.equity + e.beta_weighted_exposure * e.failed_at
+               - e.maintenance_req, 8) END AS excess_stressed,
+           CASE WHEN s.event_type NOT IN ('WARNING_ISSUED', 'STRESS_RESTRICTION') THEN s.issued END AS margin_call_issued_at
+    FROM steps s JOIN numbered e ON e.account_id = s.account_id AND e.n = s.n"""
+
+
 def _fixed(column: str) -> str:
     """Two decimals, or a dash where unknown."""
     return f"COALESCE(CAST(ROUND(CAST({column} AS DECIMAL(24, 6)), 2) AS VARCHAR), '-')"
@@ -266,9 +324,9 @@ def statements() -> dict[str, str]:
             PRICES, 'SELECT ts AS "timestamp", CAST(symbol AS VARCHAR) AS symbol, price FROM prices'
         ),
         "audit_scan_pruned": _ladder(
-            """SELECT CAST(EXTRACT(DAY FROM ts) AS INTEGER) AS day, event_type, COUNT(*) AS events,
-                      COUNT(deficiency) AS with_deficiency
-               FROM actions WHERE EXTRACT(YEAR FROM ts) = 2024 AND EXTRACT(MONTH FROM ts) = 1 GROUP BY 1, 2"""
+            """SELECT CAST(EXTRACT(HOUR FROM ts) AS INTEGER) AS hour, event_type, COUNT(*) AS events,
+                      COUNT(deficiency) AS with_deficiency, COUNT(DISTINCT event_id) AS causes
+               FROM actions WHERE CAST(ts AS DATE) = DATE '2024-01-16' GROUP BY 1, 2"""
         ),
         "audit_partitions": _ladder(
             """SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
@@ -496,6 +554,7 @@ def statements() -> dict[str, str]:
                ON f.symbol = t.symbol AND f.ts > t.ts""",
         ),
         "ladder_margin": _ladder(f"SELECT {ACTION} FROM actions"),
+        "ladder_expiry": _expiry(),
         "ladder_combined": _ladder(f"SELECT {ACTION} FROM actions", True),
         "warning_candidates": _with(
             ("margin_events",),
@@ -508,10 +567,19 @@ def statements() -> dict[str, str]:
         ),
         "audit_events": _ladder(
             """SELECT audit_id AS event_id, event_type, account_id, ts AS "timestamp", ROUND(deficiency, 8) AS deficiency,
-                      ROUND(excess, 8) AS excess, ROUND(equity, 8) AS equity, ROUND(maintenance_req, 8) AS maintenance_req,
-                      scenario, CASE event_type WHEN 'RESTRICTION_APPLIED' THEN 'Margin call escalation'
-                                                WHEN 'STRESS_RESTRICTION' THEN 'Stress test failure' END AS reason,
-                      correlation_id, event_id AS causation_id FROM actions""",
+                      CASE WHEN topic = 'margin.calls.v1' THEN ROUND(excess, 8) END AS excess,
+                      CASE WHEN event_type = 'WARNING_ISSUED'
+                           THEN ROUND(CASE WHEN total_mv > 0 THEN excess / total_mv ELSE 0 END, 6) END AS excess_pct,
+                      CASE WHEN topic = 'margin.calls.v1' THEN ROUND(equity, 8) END AS equity,
+                      CASE WHEN topic = 'margin.calls.v1' THEN ROUND(maintenance_req, 8) END AS maintenance_req,
+                      CASE WHEN event_type = 'RESTRICTION_APPLIED'
+                           THEN ROUND(date_diff('microsecond', margin_call_issued_at, ts) / 6e7, 6) END AS elapsed_minutes,
+                      scenario, ROUND(excess_stressed, 8) AS excess_stressed,
+                      CASE WHEN event_type IN ('RESTRICTION_APPLIED', 'STRESS_RESTRICTION') THEN action END AS action,
+                      CASE WHEN event_type = 'LIQUIDATION_TRIGGERED' THEN trigger END AS trigger,
+                      CASE event_type WHEN 'RESTRICTION_APPLIED' THEN 'Margin call escalation'
+                                      WHEN 'STRESS_RESTRICTION' THEN 'Stress test failure' END AS reason,
+                      correlation_id, CAST(event_id AS VARCHAR) AS causation_id FROM actions""",
             True,
         ),
         "audit_by_account": _ladder(
@@ -568,24 +636,22 @@ def statements() -> dict[str, str]:
             True,
         ),
         "trace_call": _ladder(
-            """SELECT c.account_id, c.ts, c.correlation_id, c.event_id AS margin_event_id, c.total_mv AS margin_mv,
+            f"""SELECT c.account_id, c.ts, c.correlation_id, c.event_id AS margin_event_id, c.total_mv AS margin_mv,
                       ROUND(c.deficiency, 8) AS deficiency, CAST(f.symbol AS VARCHAR) AS symbol, f.ts AS fill_ts,
-                      (SELECT MIN(o.ts) FROM fills o WHERE o.account_id = f.account_id AND o.symbol = f.symbol) AS opening_fill_ts,
-                      p.price AS price_in_force
+                      f.opening_fill_ts, p.price AS price_in_force
                FROM actions c
-               LEFT JOIN (SELECT account_id, symbol, ts, ROW_NUMBER() OVER (PARTITION BY account_id
-                              ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) AS rn FROM fills) f
-                 ON f.account_id = c.account_id AND f.rn = 1
-               LEFT JOIN last_price p ON p.symbol = f.symbol
+               LEFT JOIN ({LAST_FILL}) f ON f.account_id = c.account_id AND f.rn = 1
+               LEFT JOIN (SELECT f.account_id, m.price, ROW_NUMBER() OVER (PARTITION BY f.account_id
+                              ORDER BY m.ts DESC, m.l_orderkey DESC, m.l_linenumber DESC, m.l_suppkey DESC) AS rn
+                          FROM ({LAST_FILL}) f JOIN in_month m ON m.symbol = f.symbol AND m.ts <= f.call_ts
+                          WHERE f.rn = 1) p ON p.account_id = c.account_id AND p.rn = 1
                WHERE c.event_type = 'MARGIN_CALL_ISSUED'""",
-            names=(*PRICES, "last_price"),
+            names=(*FILLS, "in_month"),
         ),
         "e2e_latency": _ladder(
-            """SELECT c.account_id, c.ts, f.ts AS fill_ts, date_diff('microsecond', f.ts, c.ts) / 1e6 AS latency_seconds
-               FROM actions c JOIN (SELECT account_id, MAX(ts) AS ts FROM fills GROUP BY account_id) f
-                 ON f.account_id = c.account_id
-               WHERE c.event_type = 'MARGIN_CALL_ISSUED'""",
-            names=FILLS,
+            f"""SELECT account_id, call_ts AS ts, ts AS fill_ts, date_diff('microsecond', ts, call_ts) / 1e6 AS latency_seconds
+               FROM ({LAST_FILL}) WHERE rn = 1""",
+            names=(*FILLS, "in_month"),
         ),
         "liquidation_selection": _with(
             CASH,
@@ -683,5 +749,6 @@ def statements() -> dict[str, str]:
                FROM messages WHERE topic = 'fills.v1' AND NOT broken AND NOT odd_price""",
         ),
         "stream_ladder": _ladder(f"SELECT {ACTION} FROM actions"),
+        "stream_ladder_expiry": _expiry(),
         "stream_ladder_combined": _ladder(f"SELECT {ACTION} FROM actions", True),
     }

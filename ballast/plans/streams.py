@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ballast.functions.columns import tidy
 from ballast.params import TOPIC_FILLS, TOPIC_MARGIN, TOPIC_PRICES, TOPIC_STRESS
-from ballast.plans.catalog import ACTION_COLUMNS, EXACT, MARGIN_SUMS, STRESS_SUMS
+from ballast.plans.catalog import ACTION_COLUMNS, EXACT, MARGIN_SUMS, STRESS_SUMS, spread_out
 from ballast.schemas import MARGIN, STRESS
 from ballast.session import SETTINGS, work_folder
 from ballast.sources import events as wire
@@ -193,23 +193,26 @@ def stress_json(spark: SparkSession, root: str) -> DataFrame:
 # enforcement ---------------------------------------------------------------
 
 
-def _run_ladder(spark: SparkSession, root: str, stress: bool):
+def _run_ladder(spark: SparkSession, root: str, stress: bool, spread: bool = False):
     home = work_folder(spark, "ladder")
     sink = enforcement.EnforcementSink(home, stress, buckets=FEW)
     schema = tables.table(spark, root, "events").schema
 
     def start():
         snapshots = tables.project_margin_events(spark.readStream.schema(schema).parquet(f"{home}/in"))
+        snapshots = spread_out(snapshots) if spread else snapshots
         return enforcement.start(snapshots, sink, f"{home}/checkpoint", ONCE)
 
     # an account's events carry one day of the month, so slice by the hour
     by = F.floor(F.hour("ts") / 8).cast("int")
+    if spread:
+        by = F.floor((F.dayofmonth("ts") - 1 + F.col("event_id") % 5 * 20) / 40).cast("int")
     _slices(tables.table(spark, root, "events"), by, range(3), f"{home}/in", start)
     return sink
 
 
-def _ladder_rows(spark: SparkSession, root: str, stress: bool) -> DataFrame:
-    sink = _run_ladder(spark, root, stress)
+def _ladder_rows(spark: SparkSession, root: str, stress: bool, spread: bool = False) -> DataFrame:
+    sink = _run_ladder(spark, root, stress, spread)
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{sink.path}/actions")
     return rows.select(*ACTION_COLUMNS).withColumns(
         {n: tidy(F.col(n), EXACT) for n in ("deficiency", "excess", "excess_stressed")}
@@ -224,6 +227,11 @@ def stream_ladder_combined(spark: SparkSession, root: str) -> DataFrame:
     return _ladder_rows(spark, root, True)
 
 
+def stream_ladder_expiry(spark: SparkSession, root: str) -> DataFrame:
+    """Slices of forty days: states run out within a batch and between batches."""
+    return _ladder_rows(spark, root, True, spread=True)
+
+
 def stream_progress(spark: SparkSession, root: str) -> DataFrame:
     """Rows that a query over three slices says it has read, and keys that its state holds at the end."""
     home = work_folder(spark, "progress")
@@ -258,6 +266,7 @@ STREAMS = {
         stress_json,
         stream_ladder,
         stream_ladder_combined,
+        stream_ladder_expiry,
         stream_progress,
     )
 }

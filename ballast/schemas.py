@@ -1,4 +1,4 @@
-"""Declared schemas of the event relations (no inference anywhere)."""
+"""Declared schemas of the event relations (no inference anywhere). Field names and types of the wire."""
 
 from __future__ import annotations
 
@@ -26,13 +26,11 @@ RESTRICTIONS = (
 LIQUIDATIONS = (
     "account_id STRING, trigger STRING, deficiency DOUBLE, timestamp TIMESTAMP, correlation_id STRING"
 )
-AUDIT_DETAILS = (
-    "deficiency DOUBLE, excess DOUBLE, equity DOUBLE, maintenance_req DOUBLE, scenario DOUBLE, reason STRING"
-)
 AUDIT = (
     "event_id STRING, event_type STRING, account_id STRING, timestamp TIMESTAMP_NTZ, "
-    f"details STRUCT<{AUDIT_DETAILS.replace(' DOUBLE', ': DOUBLE').replace(' STRING', ': STRING')}>, "
-    "correlation_id STRING"
+    "details STRUCT<deficiency: DOUBLE, excess: DOUBLE, excess_pct: DOUBLE, equity: DOUBLE, maintenance_req: DOUBLE, "
+    "elapsed_minutes: DOUBLE, scenario: DOUBLE, excess_stressed: DOUBLE, action: STRING, trigger: STRING, reason: STRING>, "
+    "correlation_id STRING, causation_id STRING"
 )
 AUDIT_PARTITIONS = "year INT, month INT, day INT, hour INT"
 HISTORY_CSV = "timestamp TIMESTAMP_NTZ, symbol STRING, price DOUBLE"

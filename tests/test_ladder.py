@@ -28,9 +28,12 @@ def event(n, minutes, excess_pct, account="a", mv=1000.0, exposure=None):
 
 def walk(events, stress):
     """Plain state machine, one event at a time."""
-    state, called, out = {}, {}, []
+    state, called, out, wrote = {}, {}, [], {}
     for account, ts, n, mv, equity, req, excess, exposure in sorted(events, key=lambda e: (e[1], e[2])):
+        if account in wrote and ts >= wrote[account] + timedelta(days=DEFAULT.state_ttl_days):
+            del state[account], wrote[account]
         status = state.get(account, "ACTIVE")
+        before = len(out)
         if 0 <= excess < DEFAULT.warning_pct * mv and status == "ACTIVE":
             state[account] = "WARNING"
             out.append((account, ts, n, "WARNING_ISSUED"))
@@ -46,6 +49,8 @@ def walk(events, stress):
             if any(equity + exposure * s - req < 0 for s in DEFAULT.index_scenarios if abs(s) >= 0.06):
                 state[account] = "RESTRICTED"
                 out.append((account, ts, n, "STRESS_RESTRICTION"))
+        if len(out) > before:
+            wrote[account] = ts
     return sorted(out)
 
 
@@ -144,6 +149,39 @@ def test_micro_batches_equal_the_whole(spark, stress):
     assert sorted(got) == walk(events, stress)
 
 
+def months_of_events(seed, count=500, accounts=8):
+    """Random events spread over five months, so that states run out in between."""
+    spread = random.Random(seed + 100)
+    moved = [(a, ts + timedelta(days=spread.randrange(150)), *rest) for a, ts, *rest in random_events(seed, count, accounts)]
+    return sorted(moved, key=lambda e: (e[1], e[2]))
+
+
+@pytest.mark.parametrize("stress", [False, True])
+@pytest.mark.parametrize("cuts", [1, 3, 10])
+def test_states_run_out_whatever_the_cut(spark, stress, cuts):
+    events = months_of_events(6)
+    history, got = None, []
+    size = -(-len(events) // cuts)
+    for at in range(0, len(events), size):
+        acts = run(spark, events[at : at + size], stress, None if history is None else latest_state(history))
+        got += taken(acts)
+        rows = state_history(acts)
+        rows = spark.createDataFrame(rows.collect(), rows.schema)
+        history = rows if history is None else spark.createDataFrame(history.unionByName(rows).collect(), rows.schema)
+    expected = walk(events, stress)
+    assert sorted(got) == expected
+    assert len({(a, t) for a, _, _, t in expected}) < len(expected)  # some accounts start anew
+
+
+def test_state_lives_to_its_last_instant(spark):
+    month = 30 * 24 * 60
+    events = [event(1, 0, -0.01), event(2, month - 1, -0.01, "b"), event(3, month, -0.01)]
+    acts = taken(run(spark, events))
+    assert [(n, t) for _, _, n, t in acts] == [(1, "MARGIN_CALL_ISSUED"), (3, "MARGIN_CALL_ISSUED"), (2, "MARGIN_CALL_ISSUED")]
+    events[2] = event(3, month - 1, -0.01)
+    assert ("a", T0 + timedelta(minutes=month - 1), 3, "RESTRICTION_APPLIED") in taken(run(spark, events))
+
+
 def test_times_are_ordered(spark):
     acts = run(spark, random_events(4))
     first = acts.groupBy("account_id").pivot("event_type").agg(F.min("ts"))

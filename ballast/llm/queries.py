@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballast.llm import chat, html_extract, langid, mixing, neardup, packing, pii, quality, secret_scan, vectors
+from ballast.llm import chat, collocation, html_extract, langid, mixing, neardup, neighbour_vote, packing, pii, quality, secret_scan, vectors, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +76,18 @@ def op10_langid(spark: SparkSession, root: str) -> DataFrame:
     return langid.identify(_table(spark, root, "documents"))
 
 
+def op11_whitening(spark: SparkSession, root: str) -> DataFrame:
+    return whitening.whiten(_table(spark, root, "embeddings"))
+
+
+def op12_collocation(spark: SparkSession, root: str) -> DataFrame:
+    return collocation.mine(_table(spark, root, "documents"))
+
+
+def op13_neighbour_vote(spark: SparkSession, root: str) -> DataFrame:
+    return neighbour_vote.score(_table(spark, root, "documents"), _table(spark, root, "labels"))
+
+
 def pipeline(spark: SparkSession, root: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +105,9 @@ QUERIES: dict[str, Query] = {
     "op8_bin_slack": op8_bin_slack,
     "op9_flat_graph": op9_flat_graph,
     "op10_langid": op10_langid,
+    "op11_whitening": op11_whitening,
+    "op12_collocation": op12_collocation,
+    "op13_neighbour_vote": op13_neighbour_vote,
     "pipeline": pipeline,
 }
 
@@ -151,4 +166,47 @@ def mixing_sql(docs: str = "documents") -> str:
     FROM running"""
 
 
-SQL: dict[str, str] = {"op7_mixing": mixing_sql()}
+def collocation_sql(docs: str = "documents", least: int = collocation.LEAST, top: int = collocation.TOP) -> str:
+    """Phrase collocations as one statement over `docs`, by hashed counts of all phrases."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {size} AS size, array_to_string(list_slice(ws, i, i + {size - 1}), ' ') AS phrase, "
+        f"{f"array_to_string(list_slice(ws, i, i + {size - 2}), ' ')" if size > 1 else "''"} AS head, "
+        f"{f"array_to_string(list_slice(ws, i + 1, i + {size - 1}), ' ')" if size > 1 else "''"} AS tail, "
+        f"ws[i] AS first, ws[i + {size - 1}] AS last "
+        f"FROM (SELECT lang, ws, unnest(range(1, len(ws) - {size - 2})) AS i FROM pieces WHERE len(ws) >= {size})"
+        for size in (1, 2, 3)
+    )
+    score = "(CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST({l} AS HUGEINT) * {r})"
+    return f"""
+    WITH pieces AS MATERIALIZED (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+        SELECT COALESCE(lang, '{collocation.UNKNOWN}') AS lang,
+          unnest(regexp_split_to_array(translate(COALESCE(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM {docs})),
+    totals AS (SELECT lang, CAST(SUM(len(ws)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+    counts AS MATERIALIZED (
+      SELECT lang, size, phrase, ANY_VALUE(head) AS head, ANY_VALUE(tail) AS tail, ANY_VALUE(first) AS first, ANY_VALUE(last) AS last, COUNT(*) AS a
+      FROM ({grams}) GROUP BY lang, size, phrase HAVING COUNT(*) >= {least}),
+    cuts AS (
+      SELECT c.*, 1 AS k, f.a AS l, t.a AS r, {score.format(l="f.a", r="t.a")} AS score FROM counts c
+        JOIN counts f ON f.lang = c.lang AND f.size = 1 AND f.phrase = c.first
+        JOIN counts t ON t.lang = c.lang AND t.size = c.size - 1 AND t.phrase = c.tail WHERE c.size > 1
+      UNION ALL
+      SELECT c.*, 2 AS k, h.a AS l, e.a AS r, {score.format(l="h.a", r="e.a")} AS score FROM counts c
+        JOIN counts h ON h.lang = c.lang AND h.size = 2 AND h.phrase = c.head
+        JOIN counts e ON e.lang = c.lang AND e.size = 1 AND e.phrase = c.last WHERE c.size = 3),
+    lowest AS (SELECT * FROM cuts QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, size, phrase ORDER BY score, k) = 1),
+    longer AS (
+      SELECT lang, phrase, MAX(a) AS a FROM (
+        SELECT lang, head AS phrase, a FROM counts WHERE size = 3 UNION ALL SELECT lang, tail, a FROM counts WHERE size = 3)
+      GROUP BY lang, phrase),
+    kept AS (
+      SELECT c.* FROM lowest c LEFT JOIN longer x ON x.lang = c.lang AND x.phrase = c.phrase AND c.size = 2
+      WHERE x.a IS NULL OR 100 * x.a < {collocation.COVERED} * c.a)
+    SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM (
+      SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    JOIN totals USING (lang) WHERE rank <= {top}"""
+
+
+SQL: dict[str, str] = {"op7_mixing": mixing_sql(), "op12_collocation": collocation_sql()}

@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 
 from ballast.llm import chat, html_extract, langid, pii, quality, secret_scan
+from tests.conftest import SF
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 EDGES = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, "no id here", "en", "s", 3), (3, "same row", "en", "s", 8), (3, "same row", "en", "s", 8), (4, "x" * 300_000, "en", "s", 300_000)]
@@ -77,15 +79,34 @@ def test_quality_lines(table):
     assert out[3]["cleaned"] == prose and out[3]["n_lines_gone"] == 2
 
 
-def test_pii_base_against_plain_patterns():
-    random.seed(3)
+def plain_pii(text):
+    """The fixed kinds by plain patterns, as the contract words them."""
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    card, phone = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    number = lambda m: re.sub("[^0-9]", "", m.group())
+    out = [("email", *m.span()) for m in email.finditer(text)]
+    out += [("ip", *m.span()) for m in ip.finditer(text) if all(int(x) <= 255 for x in m.group().split("."))]
+    out += [("card", *m.span()) for m in card.finditer(text) if 16 <= len(number(m)) <= 19 and luhn(number(m))]
+    return out + [("phone", *m.span()) for m in phone.finditer(text) if 8 <= len(number(m)) <= 15]
+
+
+def test_pii_base_against_plain_patterns(spark):
+    random.seed(3)
     for _ in range(3000):
-        text = "".join(random.choices("ab@.-1+29 ", k=random.randint(1, 40)))
-        want = [m.span() for m in email.finditer(text)]
-        assert [(a, b) for a, b, k in pii.base_spans(text) if k == "email"] == want
-        want = [m.span() for m in ip.finditer(text) if all(int(x) <= 255 for x in m.group().split("."))]
-        assert [(a, b) for a, b, k in pii.base_spans(text) if k == "ip"] == want
+        text = "".join(random.choices("ab@.-1+29 (", k=random.randint(1, 60)))
+        assert [(k, a, b) for a, b, k in pii.base_spans(text)] == plain_pii(text)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in pii.find(docs).collect():
+        want = plain_pii(texts[r["doc_id"]])
+        shown = [f"{k}:{a}:{b}" for k, a, b in want]
+        assert r["base_sha256"] == hashlib.sha256(",".join(shown).encode()).hexdigest()
+        assert [s for s in r["spans"].split(",") if s.split(":")[0] in pii.BASE] == shown
+        assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == tuple(sum(k == kind for k, _, _ in want) for kind in pii.BASE)
 
 
 def test_pii_checks_and_context(table):
@@ -94,10 +115,45 @@ def test_pii_checks_and_context(table):
     assert r["n_card"] == 1 and r["n_added"] == 2
     assert r["redacted"] == "card [CARD], not 4111 1111 1111 1112; IBAN [IBAN] bank; ssn [SSN]" + " and" * 20 + "; part 123-45-6789"
     spans = [s.split(":") for s in r["spans"].split(",")]
-    assert [int(a) for _, a, _ in spans] == sorted(int(a) for _, a, _ in spans)
+    order = [(pii.KINDS.index(kind), int(a)) for kind, a, _ in spans]
+    assert order == sorted(order) and len(r["scores"].split(",")) == len(spans)
     assert pii.base_spans("9" * 6000 + ".1.1.1") == []
 
 
+def test_pii_order_is_by_kind_then_start(table):
+    text = "call +1 415 555 0100 or 10.0.0.1 or a@b.example"
+    r = by_id(pii.find(table([(1, text, None, None, None)], DOCS)))[1]
+    assert [s.split(":")[0] for s in r["spans"].split(",")] == ["email", "ip", "phone"]
+
+
+@pytest.mark.parametrize(
+    ("kind", "good", "bad"),
+    [
+        ("iban", "DE89370400440532013000", "DE89370400440532013001"),
+        ("card_short", "378282246310005", "378282246310006"),
+        ("nir", "2 55 08 14 168 025 38", "2 55 08 14 168 025 39"),
+        ("dni", "12345678Z", "12345678A"),
+        ("tax_id", "86 095 742 719", "86 095 742 718"),
+        ("ssn", "123-45-6789", "666-45-6789"),
+        ("ipv6", "2001:db8:0:1:2:3:4:5f", "10:20:30:40:50:60:10:20"),
+        ("phone_local", "415-555-0100", "115-555-0100"),
+    ],
+)
+def test_pii_checks_of_added_kinds(kind, good, bad):
+    pattern, check = next((p, c) for k, p, c in pii.CHECKED if k == kind)
+    assert pattern.fullmatch(good) and check(good) and not check(bad)
+    more, less = {"card_short": "visa", "phone_local": "phone", "ssn": "ssn", "tax_id": "steuer"}.get(kind, ""), "serial sample time"
+    assert pii.added_spans(f"{more} {good} .", [], 0.7) and not pii.added_spans(f"{less} {good} .", [], 0.7)
+
+
+def test_pii_many_spans_in_one_text():
+    text = "a@b.cc 1.2.3.4 " * 40_000
+    start = time.time()
+    base = pii.base_spans(text)
+    assert len(base) == 80_000 and not pii.added_spans(text, base, 0.7)
+    assert len([pii.confidence(text, *s) for s in base]) == 80_000 and time.time() - start < 8
+
+
 @pytest.mark.parametrize(
     ("text", "want"),
     [
@@ -113,6 +169,37 @@ def test_secrets(text, want):
     assert secret_scan.masked(text, secret_scan.secret_spans(text)) == want
 
 
+def plain_secrets(text):
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    found = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(text) if len(m.group(2)) >= 12]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 18]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 16]
+    return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found)]
+
+
+def test_secret_base_against_plain_patterns(spark):
+    random.seed(7)
+    parts = ["password", "Api_Key", "TOKEN", "secret", '"', "'", "=", ": ", " ", "AKIA", "ABCD1234", "deadbeef", "0123456789ab", "x-y_z.", "\n", "passw\u017fd"]
+    for _ in range(3000):
+        text = "".join(random.choices(parts, k=random.randint(1, 14)))
+        assert secret_scan.joined(secret_scan.base_spans(text)).split(",") == (plain_secrets(text) or [""])
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in secret_scan.scan(docs).collect():
+        want = plain_secrets(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("literal")] == want
+
+
+@pytest.mark.parametrize("line", ["a{0} = a{1} + a{1}", 'a{0} = a{1} + "x{0}y"'])
+def test_chained_constants_cost_no_more_than_their_text(line):
+    text = 'a0 = "Q7w"\n' + "\n".join(line.format(i, i - 1) for i in range(1, 3000)) + '\nsecret_key = a2999 + "Zm9vYmFyMTIz"'
+    start = time.time()
+    spans = secret_scan.secret_spans(text)
+    assert time.time() - start < 5 and (6, 9, "literal") in spans
+    assert len(spans) == (2 if '"' not in line else 3001)
+
+
 def test_secret_digest_and_mask(table):
     text = 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ok'
     r = by_id(secret_scan.scan(table([(1, text, None, None, None)], DOCS)))[1]

@@ -27,8 +27,10 @@ from ballast.functions.columns import (
 )
 from ballast.functions.skew import lookup_join
 from ballast.params import (
+    CALL_OUTSTANDING,
     DEFAULT,
     SCALE,
+    STRESS_FAILED,
     TOPIC_CALLS,
     TOPIC_LIQUIDATIONS,
     TOPIC_RESTRICTIONS,
@@ -55,6 +57,17 @@ def _stress_failure(params: RiskParams) -> Column:
     return F.coalesce(*failures)
 
 
+def judged(events: DataFrame, params: RiskParams = DEFAULT, stress: bool = False) -> DataFrame:
+    """account_id and the columns of SNAPSHOT; scenario and excess_stressed only where a severe stress test fails."""
+    failure = _stress_failure(params) if stress else F.lit(None).cast("struct<scenario:double,excess_stressed:double>")
+    return events.withColumn("_failure", failure).select(
+        "account_id",
+        *SNAPSHOT[:6],
+        F.col("_failure.scenario").alias("scenario"),
+        F.col("_failure.excess_stressed").alias("excess_stressed"),
+    )
+
+
 def _at(moment: str) -> Column:
     return F.struct(F.col(f"{moment}.ts"), F.col(f"{moment}.event_id"))
 
@@ -101,13 +114,7 @@ def ladder_span(
     prior: latest state per account (account_id, status,
     margin_call_issued_at, ttl) reached before these events.
     """
-    failure = _stress_failure(params) if stress else F.lit(None).cast("struct<scenario:double,excess_stressed:double>")
-    rows = events.withColumn("_failure", failure).select(
-        "account_id",
-        *SNAPSHOT[:6],
-        F.col("_failure.scenario").alias("scenario"),
-        F.col("_failure.excess_stressed").alias("excess_stressed"),
-    )
+    rows = judged(events, params, stress)
     thin = is_warning(F.col("excess"), F.col("total_mv"), params)
     short = F.col("excess") < 0
     failed = F.col("scenario").isNotNull()
@@ -185,54 +192,56 @@ def ladder_span(
     return _actions(walked, params)
 
 
-def _actions(walked: DataFrame, params: RiskParams) -> DataFrame:
-    severe = -F.col("restricted.excess") > F.col("restricted.maintenance_req") * F.lit(params.liquidation_share)
+#: What each step means: action, trigger, topic, and the status after it.
+STEPS = {
+    "WARNING_ISSUED": ("WARNING", None, TOPIC_CALLS, WARNING),
+    "MARGIN_CALL_ISSUED": ("MARGIN_CALL", None, TOPIC_CALLS, MARGIN_CALL),
+    "RESTRICTION_APPLIED": ("CLOSE_ONLY", None, TOPIC_RESTRICTIONS, RESTRICTED),
+    "LIQUIDATION_TRIGGERED": (None, "SEVERE_DEFICIENCY", TOPIC_LIQUIDATIONS, RESTRICTED),
+    "STRESS_RESTRICTION": ("CLOSE_ONLY", None, TOPIC_RESTRICTIONS, RESTRICTED),
+}
 
-    def step(moment, event_type, action, trigger, topic, status, at=None):
-        text = lambda s: F.lit(s).cast("string")
-        return F.struct(
-            text(event_type).alias("event_type"),
-            text(action).alias("action"),
-            text(trigger).alias("trigger"),
-            text(topic).alias("topic"),
-            text(status).alias("status"),
-            (F.col(moment) if at is None else at).alias("at"),
-        )
 
-    steps = F.array(
-        step("warned", "WARNING_ISSUED", "WARNING", None, TOPIC_CALLS, WARNING),
-        step("called", "MARGIN_CALL_ISSUED", "MARGIN_CALL", None, TOPIC_CALLS, MARGIN_CALL),
-        step("restricted", "RESTRICTION_APPLIED", "CLOSE_ONLY", None, TOPIC_RESTRICTIONS, RESTRICTED),
-        step(
-            "restricted",
-            "LIQUIDATION_TRIGGERED",
-            None,
-            "SEVERE_DEFICIENCY",
-            TOPIC_LIQUIDATIONS,
-            RESTRICTED,
-            at=F.when(severe, F.col("restricted")),
-        ),
-        step("failed", "STRESS_RESTRICTION", "CLOSE_ONLY", None, TOPIC_RESTRICTIONS, RESTRICTED),
-    )
+def _actions(walked: DataFrame, params: RiskParams) -> DataFrame:
+    severe = -F.col("restricted.excess") > F.col("restricted.maintenance_req") * F.lit(params.liquidation_share)
+    moments = {
+        "WARNING_ISSUED": F.col("warned"),
+        "MARGIN_CALL_ISSUED": F.col("called"),
+        "RESTRICTION_APPLIED": F.col("restricted"),
+        "LIQUIDATION_TRIGGERED": F.when(severe, F.col("restricted")),
+        "STRESS_RESTRICTION": F.col("failed"),
+    }
+    steps = F.array(*[F.struct(F.lit(kind).alias("event_type"), at.alias("at")) for kind, at in moments.items()])
+    taken = walked.select("account_id", "issued_at", F.inline(steps)).filter(F.col("at").isNotNull())
+    return described(taken.select("account_id", "issued_at", "event_type", "at.*"))
+
+
+def described(taken: DataFrame) -> DataFrame:
+    """Actions in full from (account_id, issued_at, event_type, the columns of SNAPSHOT); batch or stream."""
     kind = F.col("event_type")
     by_stress = kind == "STRESS_RESTRICTION"
     by_margin = ~by_stress
+
+    def meaning(place: int) -> Column:
+        out = F.lit(None).cast("string")
+        for name, step in STEPS.items():
+            out = F.when(kind == name, F.lit(step[place]).cast("string")).otherwise(out)
+        return out
+
     elapsed = F.when(kind == "RESTRICTION_APPLIED", minutes_between(F.col("ts"), F.col("issued_at")))
     return (
-        walked.select("account_id", "issued_at", F.inline(steps))
-        .filter(F.col("at").isNotNull())
-        .select(
+        taken.select(
             "account_id",
             "issued_at",
-            F.col("at.ts").alias("ts"),
-            F.col("at.event_id").alias("event_id"),
+            "ts",
+            "event_id",
             "event_type",
-            "action",
-            "trigger",
-            "topic",
-            "status",
-            *[F.when(by_margin, F.col(f"at.{c}")).alias(c) for c in SNAPSHOT[2:6]],
-            *[F.when(by_stress, F.col(f"at.{c}")).alias(c) for c in SNAPSHOT[6:]],
+            meaning(0).alias("action"),
+            meaning(1).alias("trigger"),
+            meaning(2).alias("topic"),
+            meaning(3).alias("status"),
+            *[F.when(by_margin, F.col(c)).alias(c) for c in SNAPSHOT[2:6]],
+            *[F.when(by_stress, F.col(c)).alias(c) for c in SNAPSHOT[6:]],
         )
         .withColumn(
             "deficiency",
@@ -243,10 +252,10 @@ def _actions(walked: DataFrame, params: RiskParams) -> DataFrame:
             "reason",
             F.when(
                 kind == "RESTRICTION_APPLIED",
-                F.format_string("Margin call outstanding for %.0f minutes", F.col("elapsed_minutes")),
+                F.format_string(CALL_OUTSTANDING, F.col("elapsed_minutes")),
             ).when(
                 by_stress,
-                F.format_string("Underwater in SPY %s stress scenario", percent_text(F.col("scenario"))),
+                F.format_string(STRESS_FAILED, percent_text(F.col("scenario"))),
             ),
         )
         .withColumn(

@@ -29,6 +29,10 @@ TOPIC_VOLATILITY = "volatility.v1"
 TOPIC_FIRM = "firm.risk.v1"
 TOPIC_ORDERS = "liquidation.orders.v1"
 
+# Reasons on the wire.
+CALL_OUTSTANDING = "Margin call outstanding for %.0f minutes"
+STRESS_FAILED = "Underwater in SPY %s stress scenario"
+
 TOPICS = (
     TOPIC_FILLS,
     TOPIC_PRICES,

@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ballast.functions.columns import is_warning, stable_id, tidy
+from ballast.functions.columns import is_warning, tidy
 from ballast.functions.skew import hot_keys
 from ballast.operators import addons, asof, audit, firm, history, liquidation, margin, positions, stress
 from ballast.operators import ladder as enforcement
 from ballast.params import DEFAULT, TOPIC_FILLS
 from ballast.params import SCALE as DEFAULT_SCALE
+from ballast.plans import fixtures
 from ballast.session import work_folder
 from ballast.sinks import events as sinks
 from ballast.sources import events as wire
@@ -43,7 +44,7 @@ def marks(spark, root):
 def marks_with_gaps(spark, root):
     """Marks without the price of every 23rd and the beta of every 17th symbol: the fixture of missing marks."""
     return positions.marks(
-        tables.with_gaps(tables.last_prices(spark, root), 23), tables.with_gaps(tables.betas(spark, root), 17)
+        fixtures.with_gaps(tables.last_prices(spark, root), 23), fixtures.with_gaps(tables.betas(spark, root), 17)
     )
 
 
@@ -79,14 +80,14 @@ def _margin_report(df):
 
 
 def decode_events(spark, root):
-    messages = wire.replay_messages(tables.table(spark, root, "events"))
+    messages = fixtures.replay_messages(tables.table(spark, root, "events"))
     return wire.usable_rows(messages, TOPIC_FILLS).select(
         F.col("seq").alias("offset"), "account_id", "symbol", "qty", "price", "timestamp", "fill_id"
     )
 
 
 def route_by_topic(spark, root):
-    messages = wire.replay_messages(tables.table(spark, root, "events"))
+    messages = fixtures.replay_messages(tables.table(spark, root, "events"))
     return (
         wire.routed(messages)
         .groupBy("topic", "route")
@@ -95,7 +96,7 @@ def route_by_topic(spark, root):
 
 
 def dead_letters(spark, root):
-    messages = wire.replay_messages(tables.table(spark, root, "events"))
+    messages = fixtures.replay_messages(tables.table(spark, root, "events"))
     return wire.dead_letters(messages).select("topic", "key", "offset", "reason")
 
 
@@ -417,13 +418,8 @@ def ladder_combined(spark, root):
     )
 
 
-def spread_out(snapshots: DataFrame) -> DataFrame:
-    """Fixture: the month of snapshots over four, so that states run out between an account's events."""
-    return snapshots.withColumn("ts", F.expr("ts + make_dt_interval(CAST(event_id % 5 * 20 AS INT))"))
-
-
 def ladder_expiry(spark, root):
-    taken = enforcement.ladder(spread_out(tables.margin_events(spark, root)), stress=True)
+    taken = enforcement.ladder(fixtures.spread_out(tables.margin_events(spark, root)), stress=True)
     return _rounded(taken.select(*ACTION_COLUMNS), "deficiency", "excess", "excess_stressed")
 
 
@@ -621,21 +617,8 @@ def dedup_fills(spark, root):
     lines = tables.table(spark, root, "lineitem")
     times = F.when(F.col("l_orderkey") % 3 == 0, 2).otherwise(1)
     delivered = lines.withColumn("delivery", F.explode(F.sequence(F.lit(1), times))).drop("delivery")
-    fill_id = stable_id(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        *[
-            F.expr(f"CAST(CAST(floor({c} * 100 + 0.5D) AS BIGINT) AS STRING)")
-            for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-        ],
-        "l_returnflag",
-        "l_linestatus",
-        F.expr("CAST(CAST(l_shipdate AS DATE) AS STRING)"),
-    )
     return delivered.dropDuplicates().select(
-        fill_id.alias("fill_id"), F.col("l_partkey").alias("symbol"), F.expr(tables.SIGNED_QTY), F.col("l_shipdate").alias("ts")
+        fixtures.fill_id().alias("fill_id"), F.col("l_partkey").alias("symbol"), F.expr(tables.SIGNED_QTY), F.col("l_shipdate").alias("ts")
     )
 
 

@@ -289,7 +289,69 @@ def _shock_path() -> str:
     return " UNION ALL ".join(rows)
 
 
+# fills with the part of the margin feed in which they are first delivered, and totals after each of the first two parts
+DELIVERED = {
+    "sent": """
+        SELECT *, CASE WHEN ts <= TIMESTAMP '1998-06-01 00:00:00' THEN 0 ELSE 1 END
+                  + CASE WHEN l_orderkey % 7 = 0 THEN 1 ELSE 0 END AS part FROM fills""",
+    "upto": "SELECT unnest([0, 1]) AS k",
+    "known_price": """
+        SELECT k, symbol, ARG_MAX(price, (ts, l_orderkey, l_linenumber, l_suppkey, price)) AS price
+        FROM sent JOIN upto ON part <= k GROUP BY k, symbol""",
+    "known_position": """
+        SELECT k, account_id, symbol, CAST(SUM(qty) AS BIGINT) AS qty FROM sent JOIN upto ON part <= k GROUP BY ALL""",
+}
+
+
+def _clock() -> str:
+    """The margin ladder with the clock: an open call whose last snapshot was short is escalated when its time is up."""
+    return _with(
+        LADDER,
+        f"""SELECT {ACTION} FROM (
+              SELECT n.account_id, n.ts, n.event_id, 'WARNING_ISSUED' AS event_type, 'WARNING' AS status, CAST(NULL AS DOUBLE) AS deficiency,
+                     n.excess, CAST(NULL AS DOUBLE) AS scenario, CAST(NULL AS DOUBLE) AS excess_stressed, CAST(NULL AS TIMESTAMP) AS margin_call_issued_at
+              FROM firsts f JOIN numbered n ON n.account_id = f.account_id AND n.n = f.n_thin WHERE f.n_short IS NULL OR f.n_thin < f.n_short
+              UNION ALL
+              SELECT n.account_id, n.ts, n.event_id, 'MARGIN_CALL_ISSUED', 'MARGIN_CALL', -n.excess, n.excess, NULL, NULL, n.ts
+              FROM firsts f JOIN numbered n ON n.account_id = f.account_id AND n.n = f.n_short
+              UNION ALL
+              SELECT n.account_id, COALESCE(r.at, n.ts), n.event_id, kind, 'RESTRICTED', -n.excess, n.excess, NULL, NULL, r.called_at
+              FROM restricted r JOIN numbered n ON n.account_id = r.account_id AND n.n = r.n
+              JOIN (SELECT unnest(['RESTRICTION_APPLIED', 'LIQUIDATION_TRIGGERED']) AS kind) k
+                ON kind = 'RESTRICTION_APPLIED' OR -n.excess > n.maintenance_req * 0.5)""",
+        {
+            "firsts": """
+        SELECT account_id, MIN(n) FILTER (WHERE short) AS n_short, MIN(n) FILTER (WHERE thin) AS n_thin FROM numbered GROUP BY account_id""",
+            "calls": """
+        SELECT n.account_id, n.ts AS called_at, n.ts + INTERVAL 30 MINUTES AS due
+        FROM firsts f JOIN numbered n ON n.account_id = f.account_id AND n.n = f.n_short""",
+            "met": """
+        SELECT c.account_id, c.called_at, c.due, MAX(n.n) FILTER (WHERE n.ts <= c.due) AS n_last,
+               MIN(n.n) FILTER (WHERE n.ts > c.due AND n.short) AS n_next, COUNT(*) FILTER (WHERE n.ts > c.due) AS later
+        FROM calls c JOIN numbered n ON n.account_id = c.account_id GROUP BY ALL""",
+            "restricted": """
+        SELECT m.account_id, m.called_at, CASE WHEN l.short THEN m.due END AS at,
+               CASE WHEN NOT l.short THEN m.n_next
+                    WHEN m.later > 0 OR m.due < (SELECT MAX(ts) - INTERVAL 5 SECONDS FROM margin_events) THEN m.n_last END AS n
+        FROM met m JOIN numbered l ON l.account_id = m.account_id AND l.n = m.n_last""",
+        },
+    )
+
+
 def statements() -> dict[str, str]:
+    """Streams give what the batch query of the same meaning gives."""
+    own = _statements()
+    same = {
+        "stream_margin_delta": "account_margin",
+        "stream_volatility": "latest_volatility",
+        "stream_asof": "asof_fill_price",
+        "stream_ladder_state": "ladder_margin",
+        "backtest_stream": "backtest_summary",
+    }
+    return {**own, **{stream: own[batch] for stream, batch in same.items()}}
+
+
+def _statements() -> dict[str, str]:
     dead = _with(
         ("messages",),
         """SELECT topic, CASE WHEN lane < 5 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS key, "offset",
@@ -742,6 +804,33 @@ def statements() -> dict[str, str]:
                       UNION ALL SELECT account_id, scenario, scenario_type, NULL, NULL, NULL, NULL, ROUND(portfolio_pnl, 8)
                       FROM grid)""",
         ),
+        "stream_betas": _with(
+            ("messages",),
+            """SELECT event_type AS symbol, ARG_MAX(CAST(k AS DOUBLE) / 50, (ts, "offset")) AS beta, MAX(ts) AS last_updated
+               FROM messages WHERE topic = 'betas.v1' AND NOT broken GROUP BY 1""",
+        ),
+        "stream_touched_accounts": _with(
+            FILLS,
+            """SELECT part, COUNT(DISTINCT account_id) AS accounts FROM (
+                 SELECT CAST(part AS INTEGER) AS part, account_id FROM sent WHERE part < 2
+                 UNION ALL
+                 SELECT 1, h.account_id FROM known_position h
+                 JOIN known_price b ON b.symbol = h.symbol AND b.k = 1 LEFT JOIN known_price a ON a.symbol = h.symbol AND a.k = 0
+                 WHERE h.k = 0 AND h.qty <> 0 AND b.price <> COALESCE(a.price, 0.0))
+               GROUP BY part""",
+            DELIVERED,
+        ),
+        "stream_firm_risk": _with(
+            (*FILLS, "betas"),
+            """SELECT ROUND(exposure, 1) AS firm_beta_weighted_exposure, ROUND(mv, 1) AS firm_total_mv, num_accounts,
+                      exposure > 10000000 AS limit_breached, CAST(k + 1 AS INTEGER) AS version,
+                      CASE WHEN (exposure > 10000000) IS DISTINCT FROM COALESCE(LAG(exposure > 10000000) OVER (ORDER BY k), FALSE)
+                           THEN CASE WHEN exposure > 10000000 THEN 'ABOVE' ELSE 'BELOW' END END AS crossed
+               FROM (SELECT h.k, SUM(h.qty * p.price) AS mv, SUM(h.qty * p.price * b.beta) AS exposure, COUNT(DISTINCT h.account_id) AS num_accounts
+                     FROM known_position h JOIN known_price p ON p.k = h.k AND p.symbol = h.symbol JOIN betas b ON b.symbol = h.symbol GROUP BY h.k)""",
+            DELIVERED,
+        ),
+        "stream_ladder_clock": _clock(),
         "stream_progress": _with(
             ("messages",),
             """SELECT 'positions' AS query, CAST((SELECT COUNT(*) FROM messages) AS BIGINT) AS input_rows,

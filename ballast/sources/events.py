@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ballast import params as p
-from ballast.params import DEFAULT, TOPIC_BETAS, TOPIC_FILLS, TOPIC_MARGIN, TOPIC_PRICES
+from ballast.params import DEFAULT, TOPIC_BETAS, TOPIC_FILLS, TOPIC_PRICES
 from ballast.schemas import BY_TOPIC
 
 MESSAGE = "topic STRING, key STRING, value STRING, offset BIGINT, timestamp TIMESTAMP"
@@ -117,84 +117,3 @@ def write_dead_letters(messages: DataFrame, path: str, checkpoint: str, trigger:
         .format("parquet")
         .start(path)
     )
-
-
-def replay_messages(events: DataFrame) -> DataFrame:
-    """Wire messages made from the event table, a few of them unusable.
-
-    Ten event ids in turn: five fills, three prices, one beta, one of a topic
-    without handler, without topic or of the margin topic (in thirds; the last
-    lacks its closing brace). Every 50th lacks its closing brace; every 70th has
-    text where a number belongs: shifted by 6 in a price, by 3 in a fill's
-    price, which a fill can do without.
-    """
-    lane = F.col("event_id") % F.lit(10)
-    third = F.floor(F.col("event_id") / F.lit(10)) % 3
-    topic = (
-        F.when(lane < 5, TOPIC_FILLS)
-        .when(lane < 8, TOPIC_PRICES)
-        .when(lane < 9, TOPIC_BETAS)
-        .when(third == 0, "orders.v1")
-        .when(third == 1, TOPIC_MARGIN)
-    )
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    number = F.get_json_object("props", "$.k").cast("int")
-    account, symbol = F.col("user_id").cast("string"), F.col("event_type")
-    body = (
-        F.when(
-            F.col("event_id") % F.lit(70) == 3,
-            F.to_json(
-                F.struct(
-                    account.alias("account_id"),
-                    symbol.alias("symbol"),
-                    number.alias("qty"),
-                    F.lit("n/a").alias("price"),
-                    ms.alias("timestamp"),
-                    F.col("event_id").cast("string").alias("fill_id"),
-                )
-            ),
-        )
-        .when(
-            lane < 5,
-            F.to_json(
-                F.struct(
-                    account.alias("account_id"),
-                    symbol.alias("symbol"),
-                    number.alias("qty"),
-                    F.col("value").alias("price"),
-                    ms.alias("timestamp"),
-                    F.col("event_id").cast("string").alias("fill_id"),
-                )
-            ),
-        )
-        .when(
-            (lane < 8) & (F.col("event_id") % F.lit(70) == 6),
-            F.to_json(F.struct(symbol.alias("symbol"), F.lit("n/a").alias("price"), ms.alias("timestamp"))),
-        )
-        .when(
-            lane < 8,
-            F.to_json(F.struct(symbol.alias("symbol"), F.col("value").alias("price"), ms.alias("timestamp"))),
-        )
-        .otherwise(
-            F.to_json(
-                F.struct(
-                    symbol.alias("symbol"),
-                    (number.cast("double") / F.lit(50)).alias("beta"),
-                    ms.alias("timestamp"),
-                )
-            )
-        )
-    )
-    cut = (F.col("event_id") % F.lit(50) == 0) | ((lane == 9) & (third == 1))
-    value = F.when(cut, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body"))
-    return (
-        events.withColumn("body", body)
-        .withColumn("topic", topic)
-        .select(
-            "topic",
-            F.when(lane < 5, account).otherwise(symbol).alias("key"),
-            value.alias("value"),
-            F.col("event_id").alias("offset"),
-            F.col("ts").cast("timestamp").alias("timestamp"),
-        )
-    )

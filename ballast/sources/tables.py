@@ -91,11 +91,6 @@ def last_prices(spark: SparkSession, root: str) -> DataFrame:
     return newest.join(listed, "l_partkey").selectExpr("l_partkey AS symbol", "p_retailprice * factor AS price")
 
 
-def with_gaps(marks: DataFrame, every: int) -> DataFrame:
-    """Fixture for the queries about missing marks: symbols divisible by ``every`` have none."""
-    return marks.filter(F.col("symbol") % every != 0)
-
-
 def quotes_with_list_price(spark: SparkSession, root: str) -> DataFrame:
     return project_prices(table(spark, root, "lineitem"), table(spark, root, "part"))
 

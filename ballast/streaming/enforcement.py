@@ -1,57 +1,41 @@
-"""Streaming enforcement: the ladder over micro-batches of margin snapshots.
-
-The keyed state is the account-state table, read as of the batch before and
-extended by this one. A micro-batch is walked with the same set logic as a
-full history, so an account that sends a third of a batch is reduced map-side
-and never iterated in one task. Calls age and states run out by each row's
-own time, so the result does not hang on where batches are cut.
-"""
+"""Streaming enforcement: the ladder as keyed state, its actions, state rows and audit trail as one sink."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from ballast.operators import audit as audit_ops
-from ballast.operators.ladder import ladder, latest_state, state_history
-from ballast.params import DEFAULT, SCALE, RiskParams, Scale
-from ballast.streaming.versions import VersionedTable
+from ballast.operators.ladder import state_history
+from ballast.params import DEFAULT, RiskParams
+from ballast.streaming.ladder_state import ladder_state
 
 
 class EnforcementSink:
-    """Body of the foreachBatch sink.
-
-    Layout below ``path``: state/ (latest state per account), actions/<batch>,
-    history/<batch>, audit/<batch>.
-    """
-
-    def __init__(
-        self,
-        path: str,
-        stress: bool = False,
-        params: RiskParams = DEFAULT,
-        scale: Scale = SCALE,
-        **table_options,
-    ):
-        self.path, self.stress, self.params, self.scale = path, stress, params, scale
-        self.state = VersionedTable(f"{path}/state", ["account_id"], bucket_by="account_id", **table_options)
-
-    def __call__(self, snapshots: DataFrame, batch_id: int) -> None:
-        spark = snapshots.sparkSession
-        prior = self.state.current(spark, batch_id - 1)
-        taken = ladder(snapshots, self.params, self.stress, prior, self.scale)
-        folder = f"{self.path}/actions/{batch_id}"
-        taken.write.mode("overwrite").parquet(folder)
-        actions = spark.read.schema(taken.schema).parquet(folder)
-        history = state_history(actions, self.params)
-        history.write.mode("overwrite").parquet(f"{self.path}/history/{batch_id}")
-        audit_ops.audit_events(actions).write.mode("overwrite").parquet(f"{self.path}/audit/{batch_id}")
-        self.state.write(latest_state(history), batch_id)
-        self.state.maybe_snapshot(spark, batch_id)
-
-
-def start(snapshots: DataFrame, sink: EnforcementSink, checkpoint: str, trigger: dict | None = None):
+    """Body of foreachBatch over actions: actions/, history/ and audit/ below ``path``, a folder per batch each."""
+
+    def __init__(self, path: str, params: RiskParams = DEFAULT) -> None:
+        self.path, self.params = path, params
+
+    def __call__(self, taken: DataFrame, batch_id: int) -> None:
+        taken = taken.persist()  # a stateful plan runs once
+        for kind, rows in (("actions", taken), ("history", state_history(taken, self.params)), ("audit", audit_ops.audit_events(taken))):
+            rows.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch={batch_id}")
+        taken.unpersist()
+
+
+def start(
+    snapshots: DataFrame,
+    sink: EnforcementSink,
+    checkpoint: str,
+    trigger: dict | None = None,
+    stress: bool = False,
+    clock: bool = False,
+):
+    """Start the ladder over a stream of margin snapshots; ``clock`` needs a watermark, see `ladder_state`."""
     return (
-        snapshots.writeStream.option("checkpointLocation", checkpoint)
+        ladder_state(snapshots, sink.params, stress, clock)
+        .writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .queryName("enforcement")
         .foreachBatch(sink)

@@ -6,11 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from ballast.plans import catalog, oracle, streams
 from check import TABLES, canonical
 from tests.conftest import SF
 
 STATEMENTS = registry.oracle_sql()
 QUERIES = registry.queries()
+#: The library's own queries, without those of the subpackage that may be missing.
+OWN = {**catalog.BATCH, **streams.STREAMS}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +26,7 @@ def con():
 
 def test_registered_names_agree():
     assert set(STATEMENTS) <= set(QUERIES)
-    assert set(QUERIES) - set(STATEMENTS) == {"liquidation_orders", "stream_progress"}
+    assert set(OWN) - set(oracle.statements()) == {"liquidation_orders"}
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
@@ -42,16 +45,13 @@ def test_orders_hold_the_selected_lines(spark):
     assert pick(flat) == pick(lines)
 
 
-def test_branch_coverage_of_the_tables(spark):
-    standing = {r.standing: r["count"] for r in QUERIES["account_standing"](spark, SF).groupBy("standing").count().collect()}
-    assert standing == {"DEFICIENT": 53, "WARNING": 26, "GOOD": 71}
+def test_branch_coverage_of_the_tables(spark, con):
+    """Every standing and every step of the ladder occurs in the tables."""
+    standing = {r.standing for r in QUERIES["account_standing"](spark, SF).select("standing").distinct().collect()}
+    assert standing == {"DEFICIENT", "WARNING", "GOOD"}
     kinds = {r.event_type: r.events for r in QUERIES["audit_counts"](spark, SF).collect()}
-    assert kinds == {
-        "WARNING_ISSUED": 48,
-        "MARGIN_CALL_ISSUED": 192,
-        "RESTRICTION_APPLIED": 47,
-        "LIQUIDATION_TRIGGERED": 5,
-    }
+    assert set(kinds) == {"WARNING_ISSUED", "MARGIN_CALL_ISSUED", "RESTRICTION_APPLIED", "LIQUIDATION_TRIGGERED"}
+    assert kinds == dict(con.execute(STATEMENTS["audit_counts"]).fetchall())
 
 
 def test_deficient_snapshots_fail_a_severe_stress(spark):

@@ -275,8 +275,11 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     blocks = tokenised(docs)
     words = numbered(blocks, least)
     found = stored(scored(words, phrases(blocks, words, least)), "candidates")
-    # ties at the border stay until the phrases are spelt
-    best = found.withColumn("rank", F.expr("rank() OVER (PARTITION BY lang ORDER BY score DESC, a DESC)")).where(F.col("rank") <= top).drop("rank")
+    # the score and count at the border; what ties with it stays until the phrases are spelt
+    place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC)")
+    first = found.select("lang", "score", "a").withColumn("rank", place).where(F.col("rank") <= top)
+    border = first.groupBy("lang").agg(F.min(F.struct("score", "a")).alias("border"))
+    best = found.join(border, "lang").where(F.struct("score", "a") >= F.col("border")).drop("border")
     spelt = words.select("number", "word")
     for k in (1, 2):
         best = best.join(spelt.select(F.col("number").alias(f"w{k}"), F.col("word").alias(f"s{k}")), f"w{k}")

@@ -89,20 +89,21 @@ def mix(
     Tokens are runs of other than white space. `uses`: in how many epochs the mix has the document, 0 to `epochs`. A null
     domain, lang or source is a value of its own, written as an empty string; a null text has no tokens. A document
     without tokens is used as often as its place in the order says, in a leaf without tokens never. Repeated rows count
-    and are used each; rows without id have their own place in the order. Weights are whole numbers, 1 if not given.
+    and are used each; the place of a row without id in the order comes from its text. Weights are whole numbers, 1 if not given.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(domain.cast("string"), F.lit("")).alias("domain"),
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in LEVELS[1:]),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"),
+        F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("n"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))).alias("name"),
     )
     rows = stored(rows, "tokens")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("n_tokens"))
     leaves = leaf_budgets(leaves, weights, epochs, fraction, tokens).where("n_tokens > 0")
     leaves = leaves.select(*LEVELS, F.floor(F.col("budget") / F.col("n_tokens")).alias("whole"), (F.col("budget") % F.col("n_tokens")).alias("left"))
     leaves = stored(leaves, "leaves")
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.col("name")))
     placed = rows.join(leaves, list(LEVELS), "left").withColumn("key", key)
     running = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner, cut = placed.where("left > 0").withColumn("base", F.lit(0).cast("long")), None

@@ -69,7 +69,8 @@ def op8_bin_slack(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op9_flat_graph(spark: SparkSession, root: str) -> DataFrame:
-    return vectors.near_vectors(_table(spark, root, "embeddings"), limit=0.98)
+    table = _table(spark, root, "embeddings")
+    return vectors.with_recall(table, vectors.near_vectors(table, limit=0.98), limit=0.98)
 
 
 def op10_langid(spark: SparkSession, root: str) -> DataFrame:
@@ -138,7 +139,8 @@ def mixing_sql(docs: str = "documents") -> str:
       SELECT doc_id, CASE WHEN regexp_extract(source, '([0-9]+)$', 1) <> ''
           THEN 'domain' || CAST(CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4 AS VARCHAR) ELSE '' END AS domain,
         COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
-        CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens
+        CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS n_tokens,
+        COALESCE(CAST(doc_id AS VARCHAR), 'n' || md5(COALESCE(text, ''))) AS name
       FROM {docs}"""
     top = _pour("SELECT * FROM tops", "1", "domain")
     middle = _pour("SELECT m.*, t.share AS budget FROM middles m JOIN poured_tops t USING (domain)", "domain", "lang")
@@ -156,7 +158,7 @@ def mixing_sql(docs: str = "documents") -> str:
     leaves AS (SELECT domain, lang, source, n_tokens AS leaf_tokens, CAST(FLOOR(share) AS BIGINT) AS budget FROM poured WHERE n_tokens > 0),
     placed AS (
       SELECT r.*, budget // leaf_tokens AS whole, budget % leaf_tokens AS rest,
-        md5('{SEED}:' || CAST(budget // leaf_tokens AS VARCHAR) || ':' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS key
+        md5('{SEED}:' || CAST(budget // leaf_tokens AS VARCHAR) || ':' || name) AS key
       FROM rows_ r LEFT JOIN leaves USING (domain, lang, source)),
     running AS (
       SELECT *, SUM(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id, n_tokens

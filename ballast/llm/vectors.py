@@ -1,8 +1,9 @@
 """Near-duplicate vectors by search in robust-pruned flat graphs on overlapping cluster shards.
 
 Vectors of one label are dealt to shards around centres that are fitted on a bounded sample. A vector is at home with its
-nearest centre and a guest with every centre that is at most `overlap` degrees farther away, so a vector's partners are
-in its home shard. Each shard builds a flat graph over its members: for each the nearest ones, pruned so that a neighbour
+nearest centre and a guest with every centre whose border to the home's, the plane halfway between the two, is at most
+`overlap` degrees away. By default that is the angle of a link: a partner beyond the border is no nearer than the border
+itself, so all partners of a vector are in its home shard, however many shards there are. Each shard builds a flat graph over its members: for each the nearest ones, pruned so that a neighbour
 is dropped if a kept one is clearly nearer to it. The lists that a vector gets in its shards are united. Then each shard
 searches the partners of its home vectors: a greedy beam search from the medoid, then range expansion from there and from
 the vector's own list, which follows every vector found within the limit. Every pair is verified by its cosine in double
@@ -29,8 +30,9 @@ SHARD, SHARD_MOST, BLOCK = 2000, 10_000, 2000
 SAMPLE, CENTRES = 50_000, 512
 #: Neighbours considered and kept per vector, how much nearer is clearly nearer, beam of the greedy search.
 CANDIDATES, DEGREE, ALPHA, BEAM = 64, 24, 1.2, 8
-OVERLAP = 11.5
 SEED = 5
+#: Rows of a block of the recall audit.
+AUDIT = 20_000
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -77,6 +79,7 @@ MEMBER = "shard string, home boolean, uid long, vec_id long, weight long, v arra
 
 def dealer(by_group: dict[str, np.ndarray], overlap: float):
     """Function for mapInPandas over points: a row for each shard of each vector; see MEMBER."""
+    reach = float(np.sin(np.radians(overlap)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -85,9 +88,14 @@ def dealer(by_group: dict[str, np.ndarray], overlap: float):
                 if c is None:
                     yield rows.assign(shard=f"{group}/0", home=True)[["shard", "home", "uid", "vec_id", "weight", "v"]]
                     continue
-                angle = np.degrees(np.arccos(np.clip(np.stack(rows["v"].to_numpy()) @ c.T, -1, 1)))
-                near = angle.argmin(axis=1)
-                who, where = np.nonzero(angle <= angle.min(axis=1, keepdims=True) + overlap)
+                cosine = np.stack(rows["v"].to_numpy()) @ c.T
+                near = cosine.argmax(axis=1)
+                # sine of the angle to the border with each centre; an angle of 90 degrees or more leaves none out
+                behind = cosine.max(axis=1, keepdims=True) - cosine
+                apart = np.linalg.norm(c[near][:, None, :] - c[None, :, :], axis=2)
+                guest = (behind <= reach * apart + 1e-9) if overlap < 90 else np.ones_like(cosine, bool)
+                guest[np.arange(len(near)), near] = True
+                who, where = np.nonzero(guest)
                 yield rows.iloc[who].assign(shard=[f"{group}/{k}" for k in where], home=near[who] == where)[["shard", "home", "uid", "vec_id", "weight", "v"]]
 
     return run
@@ -270,14 +278,16 @@ def found_links(points: DataFrame, limit: float, overlap: float, shard: int, sha
     return found.unionByName(exact)
 
 
-def near_vectors(vectors: DataFrame, limit: float = 0.98, overlap: float = OVERLAP, shard: int = SHARD, shard_most: int = SHARD_MOST) -> DataFrame:
+def near_vectors(vectors: DataFrame, limit: float = 0.98, overlap: float | None = None, shard: int = SHARD, shard_most: int = SHARD_MOST) -> DataFrame:
     """One row per row of `vectors` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Vectors of one label and length link if their cosine is at least `limit`. Without label, or if the embedding is null,
     empty, zero or has a null or non-finite component, a row links with nothing. n_links counts rows linked directly,
     repeated rows each; component_id is the smallest vec_id reached, the row's own included; kept: it is its own. Without
-    vec_id: no links, component_id is null, kept false.
+    vec_id: no links, component_id is null, kept false. Further columns are ignored. `overlap` (degrees) is the angle of a
+    link unless given; a smaller one makes shards smaller and can miss links.
     """
+    overlap = float(np.degrees(np.arccos(limit))) if overlap is None else overlap
     rows = usable(vectors)
     points = rows.groupBy("uid").agg(F.min("vec_id").alias("vec_id"), F.first("label").alias("label"), F.first("v").alias("v"), F.count("*").alias("weight"))
     points = points.select("uid", "vec_id", F.concat_ws("/", "label", F.size("v").cast("string")).alias("group"), "weight", "v")
@@ -300,20 +310,34 @@ def near_vectors(vectors: DataFrame, limit: float = 0.98, overlap: float = OVERL
 def audited_recall(vectors: DataFrame, result: DataFrame, limit: float = 0.98, every: int = 100) -> DataFrame:
     """One row: queries, links (exact) and found. Queries are the rows whose vec_id is divisible by `every`, against all rows.
 
-    Queries meet all rows of their label in blocks; only counts come back.
+    Queries meet all rows of their label in blocks of about AUDIT rows; only counts come back.
     """
-    rows = usable(vectors).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(64)).cast("int"))
-    query = rows.where(F.col("vec_id") % every == 0).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    rows = usable(vectors)
+    sizes = rows.groupBy("label").agg(F.ceil(F.count("*") / AUDIT).cast("int").alias("blocks"))
+    rows = rows.join(sizes, "label").withColumn("block", F.pmod(F.xxhash64("uid", "vec_id"), "blocks").cast("int"))
+    query = rows.where(F.col("vec_id") % every == 0).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
     def count(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"vec_id": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
-        y = np.stack(right["v"].to_numpy())
-        x = left["v"].to_numpy()
-        n = [(np.stack(x[lo : lo + 256]) @ y.T >= limit).sum(axis=1) for lo in range(0, len(x), 256)]
-        return pd.DataFrame({"vec_id": left["vec_id"].to_numpy(), "n": np.concatenate(n).astype(np.int64)})
-
-    keys = ("label", "block")
-    exact = query.select("vec_id", "v", *keys).groupBy(*keys).cogroup(rows.select("v", *keys).groupBy(*keys)).applyInPandas(count, "vec_id long, n long")
+        x, y = left["own"].to_numpy(), right["v"].to_numpy()
+        n = np.zeros(len(x), np.int64)
+        for size in {len(v) for v in x}:  # vectors of another length don't link
+            own, other = [k for k, v in enumerate(x) if len(v) == size], [v for v in y if len(v) == size]
+            if other:
+                z = np.stack(other)
+                for lo in range(0, len(own), 256):
+                    n[own[lo : lo + 256]] = (np.stack(x[own[lo : lo + 256]]) @ z.T >= limit).sum(axis=1)
+        return pd.DataFrame({"vec_id": left["vec_id"].to_numpy(), "n": n})
+
+    query = query.select("vec_id", F.col("v").alias("own"), F.col("label").alias("own_label"), F.col("block").alias("own_block"))
+    others = rows.select("v", "label", "block").groupBy("label", "block")
+    exact = query.groupBy("own_label", "own_block").cogroup(others).applyInPandas(count, "vec_id long, n long")
     exact = exact.groupBy("vec_id").agg((F.sum("n") - 1).alias("links"))
     return exact.join(result.select("vec_id", "n_links"), "vec_id").agg(F.count("*").alias("queries"), F.sum("links").alias("links"), F.sum(F.least("links", "n_links")).alias("found"))
+
+
+def with_recall(vectors: DataFrame, result: DataFrame, limit: float = 0.98) -> DataFrame:
+    """`result` with the audited share of links found as `recall` in every row; 1 where the audit knows no link."""
+    audit = audited_recall(vectors, result, limit).first()
+    return result.withColumn("recall", F.lit(audit["found"] / audit["links"] if audit["links"] else 1.0))

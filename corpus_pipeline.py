@@ -12,29 +12,29 @@ from pyspark.sql import functions as F
 from ballast.llm import langid, mixing, neardup, packing, queries, secret_scan
 from ballast.llm.common import stored
 
-#: A text whose best cosine is below this looks like none of the languages.
-LEAST_SCORE = 0.05
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned go on; those without letters, without text or like no language go.
+    """Documents in a language that was learned go on; those without letters or without text go.
 
-    Where lang is null, it becomes the prediction.
+    Where lang is null, it becomes the prediction. Columns that share a name with the operator's own keep their values.
     """
     known = docs.where(F.col("doc_id").isNotNull() & ~langid.held_out())
-    found = langid.predict(docs, *langid.train(known))
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = langid.predict(docs.withColumnsRenamed(own), *langid.train(known))
+    kept = found.where(F.col("lang_pred") != langid.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return kept.drop("lang_pred", "score").withColumnsRenamed({v: k for k, v in own.items()}).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once. Rows without id stay as they are."""
+    """Of each group of near-duplicates the document with the smallest id stays, once.
+
+    Of rows without id each different row stays once: there is nothing to name them by in a group.
+    """
     found = neardup.near_duplicates(docs, size=5, percent=80)
     kept = found.where("kept").select("doc_id").distinct()
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row")).select("doc_id", "row.*")
-    return rows.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("_row")).select("doc_id", "_row.*")
+    return rows.select(docs.columns).unionByName(docs.where("doc_id IS NULL").distinct())
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +45,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix uses it; of rows that share an id the largest use counts, rows without id stay."""
     uses = mixing.mix(docs, queries.domain(), queries.WEIGHTS, queries.EPOCHS, fraction=1.0, seed=queries.SEED)
-    uses = uses.where("doc_id IS NOT NULL AND uses > 0").groupBy("doc_id").agg(F.max("uses").alias("uses"))
-    rows = docs.join(uses, "doc_id", "left").withColumn("uses", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("uses")))
-    return rows.where("uses > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("uses").cast("int")))).select(docs.columns)
+    uses = uses.where("doc_id IS NOT NULL AND uses > 0").groupBy("doc_id").agg(F.max("uses").cast("int").alias("_uses"))
+    rows = docs.join(uses, "doc_id", "left").withColumn("_uses", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("_uses")))
+    return rows.where("_uses > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

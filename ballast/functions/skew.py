@@ -5,7 +5,8 @@ Two tools:
 * ``lookup_join`` attaches a one-row-per-key side. A side whose size, as
   Catalyst estimates it, lies under the session's broadcast threshold is
   broadcast; otherwise every key is spread over ``salts`` pieces.
-* ``split_hot`` cuts a key with too many rows into ordered segments, and
+* ``split_hot`` cuts a key with too many rows into ordered segments, at
+  sampled places of the whole order (``cuts``), and
   ``carry_rows`` / ``carry_total`` / ``carry_last`` put in front of each segment
   what a window there needs to know of the earlier ones. A window partitioned
   by (keys, SEGMENT) and ordered by (CARRIED first, order) then returns what
@@ -70,18 +71,43 @@ def hot_keys(df: DataFrame, keys: Sequence[str], scale: Scale = SCALE) -> DataFr
     )
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], segment: Column, hot: DataFrame) -> DataFrame:
-    """Add SEGMENT: ``segment`` (BIGINT, never falling along the order) for hot keys, 0 for the rest."""
-    flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    return (
-        df.join(flagged, list(keys), "left")
-        .withColumn(SEGMENT, F.when(F.col("_hot"), segment).otherwise(F.lit(0)).cast("bigint"))
-        .drop("_hot")
+def cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, scale: Scale = SCALE) -> DataFrame:
+    """Where hot keys are cut: (keys, _cuts, _coarse), sorted places along the whole order.
+
+    A hash picks about ``samples`` rows of every ``hot_rows``; every ``samples``-th of them, in order, is a cut. So there are
+    at most about rows / hot_rows cuts in all, however the rows of a key are spread: even at one instant the rest of the
+    order tells them apart. A lost task draws the same sample again. _coarse is every ``step``-th cut, see `segment_of`.
+    """
+    at = F.struct(*order)
+    picked = F.pmod(F.xxhash64(*keys, *order), F.lit(scale.hot_rows)) < F.lit(scale.samples)
+    drawn = df.filter(picked).join(F.broadcast(hot), list(keys), "left_semi")
+    places = drawn.groupBy(*keys).agg(F.sort_array(F.collect_set(at)).alias("_all"))
+    every = lambda name, step: F.when(
+        F.size(name) >= step, F.transform(F.sequence(step, F.size(name), step), lambda i: F.element_at(name, i.cast("int")))
+    ).otherwise(F.filter(F.col(name), lambda x: F.lit(False)))
+    places = places.select(*keys, every("_all", F.lit(scale.samples)).alias("_cuts"))
+    places = places.withColumn("_step", F.greatest(F.ceil(F.sqrt(F.size("_cuts"))), F.lit(1)).cast("int"))
+    return places.select(*keys, "_cuts", "_step", every("_cuts", F.col("_step")).alias("_coarse"))
+
+
+def segment_of(order: Sequence[str]) -> Column:
+    """Number of cuts at or before the row: first among every ``_step``-th, then in the stretch behind the last of these."""
+    at = F.struct(*order)
+    upto = lambda places: F.size(F.filter(places, lambda x: x <= at))
+    start = upto(F.col("_coarse")) * F.col("_step")
+    return (start + upto(F.slice("_cuts", start + 1, F.col("_step")))).cast("bigint")
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], places: DataFrame) -> DataFrame:
+    """Add SEGMENT: the number of the stretch between cuts (never falling along the order) for hot keys, 0 for the rest."""
+    cut = df.join(F.broadcast(places), list(keys), "left")
+    return cut.withColumn(SEGMENT, F.when(F.col("_cuts").isNotNull(), segment_of(order)).otherwise(F.lit(0).cast("bigint"))).select(
+        *df.columns, SEGMENT
     )
 
 
-def _hot_only(df: DataFrame, keys: Sequence[str], segment: Column, hot: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(hot), list(keys), "inner").withColumn(SEGMENT, segment.cast("bigint"))
+def _hot_only(df: DataFrame, keys: Sequence[str], order: Sequence[str], places: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(places), list(keys), "inner").withColumn(SEGMENT, segment_of(order)).select(*df.columns, SEGMENT)
 
 
 def segment_window(keys: Sequence[str], order: Sequence[Column]):
@@ -89,15 +115,16 @@ def segment_window(keys: Sequence[str], order: Sequence[Column]):
 
 
 def carry_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, segment: Column, hot: DataFrame
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, hot: DataFrame, scale: Scale = SCALE
 ) -> DataFrame:
     """Segment ``df`` and put the ``rows`` rows that precede each segment in front of it.
 
     Serves LAG and ROWS n PRECEDING frames. Drop the CARRIED rows afterwards.
     """
+    places = cuts(df, keys, order, hot, scale)
     columns = df.columns
     tails = (
-        _hot_only(df, keys, segment, hot)
+        _hot_only(df, keys, order, places)
         .withColumn(
             "_from_end",
             F.row_number().over(Window.partitionBy(*keys, SEGMENT).orderBy(*[F.col(o).desc() for o in order])),
@@ -113,25 +140,20 @@ def carry_rows(
         .select(F.col(SEGMENT), F.explode("_before").alias("_row"))
         .select("_row.*", SEGMENT, F.lit(True).alias(CARRIED))
     )
-    return split_hot(df, keys, segment, hot).withColumn(CARRIED, F.lit(False)).unionByName(carried)
+    return split_hot(df, keys, order, places).withColumn(CARRIED, F.lit(False)).unionByName(carried)
 
 
 def carry_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    amounts: Sequence[str],
-    segment: Column,
-    hot: DataFrame,
-    is_hot: Column | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], amounts: Sequence[str], hot: DataFrame, scale: Scale = SCALE
 ) -> DataFrame:
     """Segment ``df``; each segment is preceded by one row holding the earlier segments' totals.
 
     Serves running sums. Columns other than keys and amounts are NULL in the
-    CARRIED rows. ``is_hot`` tells the rows of hot keys where ``df`` itself
-    knows; it must agree with ``hot``.
+    CARRIED rows.
     """
+    places = cuts(df, keys, order, hot, scale)
     per_segment = (
-        _hot_only(df, keys, segment, hot).groupBy(*keys, SEGMENT).agg(*[F.sum(a).alias(a) for a in amounts])
+        _hot_only(df, keys, order, places).groupBy(*keys, SEGMENT).agg(*[F.sum(a).alias(a) for a in amounts])
     )
     earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
@@ -139,27 +161,24 @@ def carry_total(
         .filter(F.col(amounts[0]).isNotNull())
         .withColumn(CARRIED, F.lit(True))
     )
-    if is_hot is None:
-        main = split_hot(df, keys, segment, hot)
-    else:
-        main = df.withColumn(SEGMENT, F.when(is_hot, segment).otherwise(F.lit(0)).cast("bigint"))
     return (
-        main
+        split_hot(df, keys, order, places)
         .withColumn(CARRIED, F.lit(False))
         .unionByName(carried, allowMissingColumns=True)
     )
 
 
 def carry_last(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, segment: Column, hot: DataFrame
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hot: DataFrame, scale: Scale = SCALE
 ) -> DataFrame:
     """Segment ``df``; each segment is preceded by the last non-NULL ``value`` of the earlier ones.
 
     Serves LAST(value) IGNORE NULLS, the heart of an as-of join.
     """
+    places = cuts(df, keys, order, hot, scale)
     at = F.struct(*order)
     per_segment = (
-        _hot_only(df, keys, segment, hot)
+        _hot_only(df, keys, order, places)
         .groupBy(*keys, SEGMENT)
         .agg(F.max_by(F.col(value), F.when(F.col(value).isNotNull(), at)).alias(value))
     )
@@ -170,19 +189,7 @@ def carry_last(
         .withColumn(CARRIED, F.lit(True))
     )
     return (
-        split_hot(df, keys, segment, hot)
+        split_hot(df, keys, order, places)
         .withColumn(CARRIED, F.lit(False))
         .unionByName(carried, allowMissingColumns=True)
     )
-
-
-def time_segment(ts: str = "ts", minutes: int = 15) -> Column:
-    """Number of the quarter hour: years of a hot key's rows fall into tens of thousands of segments."""
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(minutes * 60_000_000)).cast("bigint")
-
-
-def symbol_block(symbol: Column, numeric: bool) -> Column:
-    """24-bit block of a symbol that never falls along symbol order."""
-    if numeric:
-        return F.least(F.greatest(symbol.cast("bigint"), F.lit(0)) / F.lit(4096), F.lit(2**24 - 1)).cast("bigint")
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(symbol, "UTF-8"), 1, 3)), 6, "0"), 16, 10).cast("bigint")

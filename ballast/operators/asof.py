@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ballast.functions.skew import CARRIED, SEGMENT, carry_last, hot_keys, segment_window, time_segment
+from ballast.functions.skew import CARRIED, SEGMENT, carry_last, hot_keys, segment_window
 from ballast.params import SCALE, Scale
 
 
@@ -33,6 +33,8 @@ def as_of(
         *events.columns,
         F.lit(event_turn).alias("_turn"),
         F.lit(True).alias("_event"),
+        # tells events of one instant apart where a key's rows are cut; ticks are told apart by their own order
+        F.xxhash64(*events.columns).alias("_tie"),
     ).unionByName(
         ticks.select(
             key,
@@ -46,7 +48,7 @@ def as_of(
     )
     hot = hot_keys(line, [key], scale) if hot is None else hot
     order = ["ts", "_turn", "_tick_order"]
-    rows = carry_last(line, [key], order, "_value", time_segment(), hot)
+    rows = carry_last(line, [key], [*order, "_tie"], "_value", hot, scale)
     # events without a key match nothing; keep them from piling up in one task
     alone = F.xxhash64(*events.columns)
     rows = rows.withColumn(SEGMENT, F.when(F.col(key).isNull(), alone).otherwise(F.col(SEGMENT)))

@@ -13,7 +13,6 @@ from ballast.functions.skew import (
     hot_keys,
     lookup_join,
     segment_window,
-    time_segment,
 )
 from ballast.params import DAY_MOVES, DEFAULT, SCALE, RiskParams, Scale
 
@@ -30,7 +29,7 @@ def price_returns(
 ) -> DataFrame:
     """Simple return of each tick over the one before it."""
     hot = hot_keys(ticks, ["symbol"], scale) if hot is None else hot
-    rows = carry_rows(ticks, ["symbol"], order, 1, time_segment(), hot)
+    rows = carry_rows(ticks, ["symbol"], order, 1, hot, scale)
     window = segment_window(["symbol"], [F.col(o) for o in order])
     return rows.withColumn("return", _return(window)).filter(~F.col(CARRIED)).select(*ticks.columns, "return")
 
@@ -45,7 +44,7 @@ def rolling_volatility(
     """Standard deviation of the last returns of each symbol, plain and annual."""
     hot = hot_keys(ticks, ["symbol"], scale) if hot is None else hot
     n = params.volatility_rows
-    rows = carry_rows(ticks, ["symbol"], order, n, time_segment(), hot)
+    rows = carry_rows(ticks, ["symbol"], order, n, hot, scale)
     window = segment_window(["symbol"], [F.col(o) for o in order])
     return (
         rows.withColumn("return", _return(window))
@@ -77,6 +76,12 @@ def latest_volatility(
     )
 
 
+def daily_closes(ticks: DataFrame, order: Sequence[str] = TICK_ORDER) -> DataFrame:
+    """The last price of each symbol and day, (symbol, ts, price), where ts is the first instant of the day."""
+    day = F.date_trunc("day", "ts").cast(ticks.schema["ts"].dataType).alias("day")
+    return ticks.groupBy("symbol", day).agg(F.max_by("price", F.struct(*order)).alias("price")).withColumnRenamed("day", "ts")
+
+
 def estimated_beta(returns: DataFrame, scale: Scale = SCALE) -> DataFrame:
     """Beta of each symbol: covariance with the market's mean return of the day over its variance.
 

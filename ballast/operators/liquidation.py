@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ballast.functions.skew import CARRIED, carry_total, lookup_join, segment_window, symbol_block
+from ballast.functions.skew import CARRIED, carry_total, lookup_join, segment_window
 from ballast.params import DEFAULT, SCALE, RiskParams, Scale
 
 
@@ -31,11 +30,9 @@ def liquidation_selection(
     candidates = lookup_join(longs, owed, "account_id", spread=["symbol"], how="inner", scale=scale).withColumn(
         "line", F.lit(1)
     )
-    too_many = F.col("positions") > F.lit(scale.hot_rows)
-    hot = owed.filter(too_many).select("account_id")
-    numeric = isinstance(valued.schema["symbol"].dataType, T.NumericType)
-    segment = F.floor(F.col("beta") * F.lit(-1000)) * F.lit(2**24) + symbol_block(F.col("symbol"), numeric)
-    rows = carry_total(candidates, ["account_id"], ["estimated_proceeds", "line"], segment, hot, too_many)
+    hot = owed.filter(F.col("positions") > F.lit(scale.hot_rows)).select("account_id")
+    candidates = candidates.withColumn("_falling", -F.col("beta"))
+    rows = carry_total(candidates, ["account_id"], ["_falling", "symbol"], ["estimated_proceeds", "line"], hot, scale)
     before = segment_window(["account_id"], [F.col("beta").desc(), F.col("symbol")]).rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -90,12 +90,14 @@ class Scale:
 
     hot_rows: a key with more rows than this is cut into ordered segments. At
         most rows / hot_rows keys can pass, which bounds the broadcast list.
+    samples: rows sampled for each segment to find where it ends.
     salts: pieces a key is spread over when a lookup side is too big to
         broadcast.
     page_rows: most rows gathered into one array.
     """
 
     hot_rows: int = 1_000_000
+    samples: int = 16
     salts: int = 16
     page_rows: int = 500
 

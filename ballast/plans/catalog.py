@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -358,12 +359,12 @@ def latest_volatility(spark, root):
 
 
 def estimated_beta(spark, root):
-    returns = tables.quotes_with_list_price(spark, root).select(
-        "symbol",
-        F.to_date("ts").alias("day"),
-        (F.col("price") / F.col("p_retailprice") - F.lit(1.0)).alias("return"),
-    )
-    return history.estimated_beta(returns).withColumn("estimated_beta", tidy(F.col("estimated_beta"), 4))
+    """Beta of each symbol from the returns between the closing prices of the days on which it traded."""
+    closes = history.daily_closes(tables.prices(spark, root))
+    # a symbol has a row a day, so none is hot by days
+    returns = history.price_returns(closes, order=["ts"]).filter("return IS NOT NULL")
+    betas = history.estimated_beta(returns.select("symbol", F.col("ts").alias("day"), "return"))
+    return betas.withColumn("estimated_beta", tidy(F.col("estimated_beta"), 4))
 
 
 def shocked_prices(spark, root):
@@ -590,9 +591,12 @@ def audit_by_correlation(spark, root):
 
 
 def audit_retained(spark, root):
-    """Audit rows still kept in the middle of April: the first half of January is past its 90 days."""
-    trail = audit.audit_events(actions(spark, root, True))
-    kept = audit.retained(trail, F.lit("2024-04-15 00:00:00").cast("timestamp_ntz"))
+    """Audit rows still kept in the middle of April: the first half of January is past its 90 days, and its folders go."""
+    folder = work_folder(spark, "audit")
+    sinks.write_audit(audit.audit_events(actions(spark, root, True)), folder)
+    oldest = datetime(2024, 4, 15) - timedelta(days=DEFAULT.audit_retention_days)
+    files.drop_expired(spark, folder, oldest)
+    kept = files.audit_since(files.audit_log(spark, folder, "BIGINT"), oldest)
     return kept.select("event_id", "timestamp", "event_type", "account_id")
 
 

@@ -589,8 +589,10 @@ def _statements() -> dict[str, str]:
             PRICES,
             """SELECT symbol, COUNT(*) AS observations,
                       ROUND(COVAR_SAMP(r, m) / NULLIF(VAR_SAMP(m), 0), 4) AS estimated_beta
-               FROM (SELECT symbol, r, AVG(r) OVER (PARTITION BY ts) AS m
-                     FROM (SELECT symbol, ts, price / p_retailprice - 1 AS r FROM prices))
+               FROM (SELECT symbol, r, AVG(r) OVER (PARTITION BY day) AS m
+                     FROM (SELECT symbol, day, (price - LAG(price) OVER w) / NULLIF(LAG(price) OVER w, 0) AS r
+                           FROM (SELECT symbol, CAST(ts AS DATE) AS day, ARG_MAX(price, (ts, l_orderkey, l_linenumber, l_suppkey, price)) AS price
+                                 FROM prices GROUP BY ALL) WINDOW w AS (PARTITION BY symbol ORDER BY day)) WHERE r IS NOT NULL)
                GROUP BY symbol""",
         ),
         "shocked_prices": _with(

@@ -7,6 +7,9 @@ tests; both come through ``read_messages``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,32 +57,42 @@ def read_messages(spark: SparkSession, options: dict[str, str], streaming: bool
     )
 
 
+def _fields(topic: str) -> T.StructType:
+    return T._parse_datatype_string(f"{BY_TOPIC[topic]}, {CORRUPT} STRING")
+
+
 def parsed(topic: str) -> Column:
     """The value as the topic's fields. A missing field or one of the wrong type is NULL; the latter fills CORRUPT too."""
-    wire = T._parse_datatype_string(f"{BY_TOPIC[topic]}, {CORRUPT} STRING")
-    return F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return F.from_json("value", _fields(topic), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
 
+def fault(topic: str, field: Callable[[str], Column]) -> Column:
+    """Why a message of a known topic cannot be used, or NULL. Usable rows and dead letters both follow from this.
 
-def fault(topic: str, data: Column) -> Column:
-    """Why a message of a known topic cannot be used, or NULL. Usable rows and dead letters both follow from this."""
-    lacking = F.lit(False)
-    for field in REQUIRED[topic]:
-        lacking = lacking | data[field].isNull()
+    ``field`` gives a field of the parsed value. A text that is no JSON object leaves all fields NULL and CORRUPT filled.
+    """
+    lacking = reduce(lambda x, y: x | y, [field(name).isNull() for name in REQUIRED[topic]])
+    nothing = reduce(lambda x, y: x & y, [field(f.name).isNull() for f in _fields(topic) if f.name != CORRUPT])
+    odd = field(CORRUPT).isNotNull()
     return (
-        F.when(F.col("value").isNull() | F.try_parse_json("value").isNull(), "MALFORMED")
+        F.when(F.col("value").isNull() | (odd & nothing), "MALFORMED")
         .when(lacking, "MISSING_FIELD")
-        .when(data[CORRUPT].isNotNull(), "MISTYPED_FIELD")
+        .when(odd, "MISTYPED_FIELD")
     )
 
 
 def usable_rows(messages: DataFrame, topic: str) -> DataFrame:
-    """Decoded rows of one topic that carry all they need, beside ``ts`` (time of the record) and ``seq`` (its offset)."""
-    own = messages.filter(F.col("topic") == topic).withColumn("data", parsed(topic))
-    return (
-        own.filter(fault(topic, F.col("data")).isNull())
-        .select(F.col("timestamp").alias("ts"), F.col("offset").alias("seq"), "data.*")
-        .drop(CORRUPT)
+    """Decoded rows of one topic that carry all they need, beside ``ts`` (time of the record) and ``seq`` (its offset).
+
+    The fields come out of a generator, which parses a message once; as a plain column the parser would be copied into
+    the filter once for each field that is asked for.
+    """
+    names = [f.name for f in _fields(topic)]
+    own = messages.filter(F.col("topic") == topic).select(
+        F.col("timestamp").alias("ts"), F.col("offset").alias("seq"), "value", F.inline(F.array(parsed(topic))).alias(*[f"_{n}" for n in names])
     )
+    good = own.filter(fault(topic, lambda name: F.col(f"_{name}")).isNull())
+    return good.select("ts", "seq", *[F.col(f"_{n}").alias(n) for n in names if n != CORRUPT])
 
 
 def read_events(
@@ -99,11 +112,16 @@ def routed(messages: DataFrame) -> DataFrame:
     return messages.withColumn("route", F.when(F.col("topic").isin(*BY_TOPIC), F.col("topic")).otherwise("dead"))
 
 
+def _why(topic: str) -> Column:
+    """The fault of a message of a topic; as the variable of a lambda, the parsed value is made once."""
+    return F.transform(F.array(parsed(topic)), lambda data: fault(topic, lambda name: data[name]))[0]
+
+
 def dead_letters(messages: DataFrame) -> DataFrame:
     """Messages nobody can process, with the reason. One pass over the messages, batch or stream."""
     reason = F.when(F.col("topic").isNull() | ~F.col("topic").isin(*BY_TOPIC), "UNKNOWN_TOPIC")
     for topic in BY_TOPIC:
-        reason = reason.when(F.col("topic") == topic, fault(topic, parsed(topic)))
+        reason = reason.when(F.col("topic") == topic, _why(topic))
     return messages.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 

@@ -91,10 +91,6 @@ def last_prices(spark: SparkSession, root: str) -> DataFrame:
     return newest.join(listed, "l_partkey").selectExpr("l_partkey AS symbol", "p_retailprice * factor AS price")
 
 
-def quotes_with_list_price(spark: SparkSession, root: str) -> DataFrame:
-    return project_prices(table(spark, root, "lineitem"), table(spark, root, "part"))
-
-
 def project_betas(parts: DataFrame) -> DataFrame:
     return parts.selectExpr("p_partkey AS symbol", "0.5D + CAST(p_size % 16 AS DOUBLE) / 10 AS beta")
 

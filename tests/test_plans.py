@@ -21,7 +21,7 @@ def test_scenarios_need_no_join(spark, name):
 
 
 def test_no_python_in_any_plan(spark):
-    skipped = {"backtest_replay", "audit_scan_pruned"}  # these write files first
+    skipped = {"backtest_replay", "audit_scan_pruned", "audit_retained"}  # these write files first
     for name, query in catalog.BATCH.items():
         if name not in skipped:
             text = plan(query(spark, SF))
@@ -57,3 +57,8 @@ def test_weights_reuse_the_valued_positions(spark, no_broadcast):
     df = catalog.BATCH["position_weights"](spark, SF)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_a_message_is_parsed_once(spark):
+    text = catalog.BATCH["decode_events"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1 and "try_parse_json" not in text

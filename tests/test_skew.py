@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ballast.functions.skew import hot_keys, lookup_join, symbol_block
+from ballast.functions.skew import SEGMENT, cuts, hot_keys, lookup_join, split_hot
 from ballast.operators import history, liquidation, positions
 from ballast.operators.asof import as_of
 from ballast.params import Scale
@@ -124,13 +124,42 @@ def test_weights_with_salted_totals(spark, no_broadcast):
     assert sum(v for k, v in got.items() if k[0] == "a") == pytest.approx(1.0)
 
 
-def test_symbol_blocks_follow_symbol_order(spark):
-    words = spark.createDataFrame([("A",), ("AA",), ("AAPL",), ("B",), ("é",), ("ZZ",)], "symbol STRING")
-    got = words.select("symbol", symbol_block(F.col("symbol"), False).alias("b")).orderBy("symbol").collect()
-    assert [r.b for r in got] == sorted(r.b for r in got)
-    numbers = spark.createDataFrame([(-5,), (0,), (4095,), (4096,), (10**12,)], "symbol BIGINT")
-    got = numbers.select(symbol_block(F.col("symbol"), True).alias("b")).collect()
-    assert [r.b for r in got] == [0, 0, 0, 1, 2**24 - 1]
+@pytest.fixture(scope="module")
+def instant(spark):
+    """A key whose rows all have one time stamp."""
+    rnd = random.Random(4)
+    out = [("HOT", rnd.choice([3.0, 4.0, 5.0, 6.0]), T0, n) for n in range(4000)] + [(f"S{n % 7}", 2.0 + n, T0, n) for n in range(50)]
+    return spark.createDataFrame(out, "symbol STRING, price DOUBLE, ts TIMESTAMP_NTZ, seq BIGINT").repartition(5).cache()
+
+
+def test_a_hot_key_at_one_instant_is_cut_evenly(instant):
+    scale = Scale(hot_rows=200, samples=32)
+    hot = hot_keys(instant, ["symbol"], scale)
+    parts = split_hot(instant, ["symbol"], ORDER, cuts(instant, ["symbol"], ORDER, hot, scale))
+    found = parts.groupBy("symbol", SEGMENT).agg(F.count("*").alias("n"), F.min(F.struct(*ORDER)).alias("lo"), F.max(F.struct(*ORDER)).alias("hi"))
+    sizes = sorted((r[SEGMENT], r.n, r.lo, r.hi) for r in found.filter("symbol = 'HOT'").collect())
+    assert len(sizes) > 10 and [s[0] for s in sizes] == list(range(len(sizes)))
+    counts = sorted(s[1] for s in sizes)
+    assert counts[-1] < 2 * counts[len(counts) // 2] and sum(counts) == 4000
+    assert all(a[3] < b[2] for a, b in zip(sizes, sizes[1:], strict=False))  # no stretch reaches into the next
+    assert found.filter("symbol <> 'HOT'").agg(F.max(SEGMENT)).first()[0] == 0
+
+
+def test_windows_over_a_hot_key_at_one_instant(instant):
+    plain = Window.partitionBy("symbol").orderBy(*ORDER)
+    before = F.lag("price").over(plain)
+    want = instant.withColumn("return", (F.col("price") - before) / before)
+    assert rounded(history.price_returns(instant, scale=HOT), "return") == rounded(want, "return")
+    want = want.withColumn("volatility", F.stddev_samp("return").over(plain.rowsBetween(-30, 0)))
+    got = history.rolling_volatility(instant, scale=Scale(hot_rows=100, samples=4)).drop("volatility_annual")
+    assert rounded(got, "return", "volatility") == rounded(want, "return", "volatility")
+
+
+def test_as_of_at_one_instant(spark, instant):
+    events = spark.range(900).select(F.lit("HOT").alias("symbol"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'").alias("ts"), "id")
+    last = instant.filter("symbol = 'HOT'").agg(F.max_by("price", F.struct(*ORDER))).first()[0]
+    got = as_of(events, instant, "price", "mark", scale=HOT)
+    assert got.count() == 900 and {r.mark for r in got.collect()} == {last}
 
 
 def test_order_of_input_does_not_matter(ticks):

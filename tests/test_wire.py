@@ -161,3 +161,21 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         wire.read_messages(spark, {"kafka.bootstrap.servers": "nowhere:9092", "subscribe": ",".join(TOPICS)})
+
+
+def test_retention_reads_live_folders_and_drops_the_others(spark):
+    folder = work_folder(spark, "test")
+    days = [datetime(2024, 1, 9, 22, 59), datetime(2024, 1, 9, 23, 5), datetime(2024, 1, 10, 0, 5), datetime(2024, 1, 10, 0, 45), datetime(2024, 2, 1, 3)]
+    trail = spark.createDataFrame([(f"e{n}", at) for n, at in enumerate(days)], "event_id STRING, timestamp TIMESTAMP_NTZ")
+    sinks.write_audit(trail, folder)
+    log = files.audit_log(spark, folder)
+    at = datetime(2024, 1, 10, 0, 30)
+    live = files.audit_since(log, at)
+    assert sorted(r.event_id for r in live.collect()) == ["e3", "e4"]
+    plan = live._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    read = live.select(F.input_file_name().alias("f")).distinct().collect()
+    assert not any("day=09" in r.f for r in read)
+    assert files.drop_expired(spark, folder, at) == ["year=2024/month=01/day=09/hour=22", "year=2024/month=01/day=09/hour=23"]
+    assert sorted(r.event_id for r in files.audit_log(spark, folder).collect()) == ["e2", "e3", "e4"]
+    assert files.drop_expired(spark, folder, at) == []

@@ -221,6 +221,25 @@ def test_pipeline_edges(spark, table, tmp_path):
         docs.collect()
 
 
+def test_pipeline_keeps_columns_with_names_of_its_own(spark, table):
+    """All stages but the last return the columns of documents with their values, whatever they are called."""
+    names = ["score", "lang_pred", "uses", "epoch", "row", "kept", "_row", "n_tokens"]
+    schema = DOCS + "".join(f", {n} string" for n in names)
+    rows = [(i, f"the cat number {i} sat on the mat with {i * 7} others and looked at it.", "en", "src1", 50, *[f"{n}{i}" for n in names]) for i in range(1, 9)]
+    docs = table(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        got = docs.collect()
+        assert got and all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names)
+
+
+def test_pipeline_rows_without_id_go_once_each(spark, table):
+    docs = table([(None, "Same words here.", "en", "s", 9)] * 3 + [(None, "Other words here.", "en", "s", 9), (1, "Same words here.", "en", "s", 9)], DOCS)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == [(1, "Same words here."), (None, "Other words here."), (None, "Same words here.")]
+
+
 def test_whole_pipeline_runs(spark):
     assert corpus_pipeline.ORACLE_SQL is None
     out = corpus_pipeline.run(spark, SF)

@@ -253,3 +253,52 @@ def test_pages(table):
     assert all(got[i] == [f"{a} {b}"] for i, (a, b) in own.items())
     assert got[50] == got[51] == [""] and got[52] == [f"T a & bc d {foot}"] and sorted(got[53]) == ["broken page", "kept"] and got[54] == ["a < b > c"]
     assert html_extract.extract(table([], schema)).count() == 0
+
+
+def test_a_long_page_of_broken_markup():
+    html = "<article>" + "<b>" * 20_000 + "text</i></section></h2>" * 50_000 + "</article>"
+    start = time.time()
+    found = html_extract.blocks(html)
+    assert time.time() - start < 10 and "".join(text for _, text in found).count("text") == 50_000
+
+
+def test_pages_ignore_further_columns(table):
+    rows = [(1, "http://h.example/", "<article><p>own</article>", "x", 7), (1, "http://h.example/", "<article><p>own</article>", "x", 7)]
+    got = html_extract.extract(table(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
+    assert [(r["page_id"], r["text"], r["n_chars"]) for r in got] == [(1, "own", 3)] * 2
+
+
+def profile(text, dims):
+    """The sum of the vectors of a text's runs of three letters or gaps, one run after the other."""
+    maker, total = langid.RunVectors(dims), langid.np.zeros(dims)
+    gaps = re.sub(r"[^\W\d_]", "x", text.lower())
+    codes = [0]
+    for c in text.lower() + " ":
+        code = ord(c) if c.isalpha() else 0
+        if code or codes[-1]:
+            codes.append(code)
+    assert len(gaps) == len(text.lower())
+    for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+        total += langid.np.roll(maker.letter(a), 2) * langid.np.roll(maker.letter(b), 1) * maker.letter(c)
+    return total
+
+
+def test_language_against_brute_force(table):
+    random.seed(11)
+    words = {"aa": "ka ki ku nana mimi tulu".split(), "bb": "shtrom vlk prst krk dvor".split(), "cc": "été où ça là-bas naïve".split()}
+    rows = [(i, ("; " if i % 4 == 0 else " ").join(random.choices(words[lang], k=random.randint(1, 9))), lang, "s", 0) for i, lang in enumerate(random.choices(list(words), k=90))]
+    rows += [(200, "42", "aa", "s", 0), (201, None, "bb", "s", 0)]
+    dims = 256
+    out = by_id(langid.identify(table(rows, DOCS), dims))
+    sums = {}
+    for i, text, lang, *_ in rows:
+        if not out[i]["held_out"] and text:
+            sums[lang] = sums.get(lang, 0) + profile(text, dims)
+    for i, text, *_ in rows:
+        own = profile(text or "", dims)
+        if not own.any():
+            assert out[i]["lang_pred"] == "und" and out[i]["score"] == 0
+            continue
+        cosine = {lang: float(own @ v) / float(langid.np.linalg.norm(own) * langid.np.linalg.norm(v)) for lang, v in sums.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        assert out[i]["lang_pred"] == best and out[i]["score"] == pytest.approx(max(cosine[best], 0), abs=2e-5)

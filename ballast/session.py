@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -36,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # a local cluster has executors of its own
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     return _local_root()
 

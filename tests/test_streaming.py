@@ -15,7 +15,7 @@ from ballast.params import TOPIC_FILLS, TOPIC_MARGIN, RiskParams
 from ballast.schemas import MARGIN
 from ballast.session import work_folder
 from ballast.sources import events as wire
-from ballast.streaming import enforcement, feeds, firm, ladder_state
+from ballast.streaming import enforcement, feeds, firm, job, ladder_state
 from ballast.streaming import history as history_stream
 from ballast.streaming import margin as margin_stream
 from ballast.streaming import positions as position_stream
@@ -386,6 +386,30 @@ def test_supervisor_gives_up_on_a_query_that_always_fails(spark):
         Supervisor(spark, {"bad": start}, restarts=1).start().watch(seconds=30)
 
 
+def test_the_whole_job_under_one_supervisor(spark):
+    """Each query drains what is there; a round carries the messages one query further."""
+    home = work_folder(spark, "test")
+    fill = lambda a, s, q, f: (TOPIC_FILLS, a, f'{{"account_id":"{a}","symbol":"{s}","qty":{q},"price":1.0,"timestamp":{int(T0.timestamp() * 1000)},"fill_id":"{f}"}}')
+    tick = lambda s, p: ("prices.v1", s, f'{{"symbol":"{s}","price":{p},"timestamp":1}}')
+    sent = [fill("a", "X", 5, "f1"), fill("a", "X", 5, "f1"), fill("b", "X", -2, "f2"), tick("X", 10.0), tick("X", 11.0), tick("X", 12.0), ("prices.v1", "X", "{"), ("nobody.v1", "k", "{}")]
+    data = [(topic, key, value, n, T0 + timedelta(seconds=n)) for n, (topic, key, value) in enumerate(sent)]
+    spark.createDataFrame(data, wire.MESSAGE).coalesce(1).write.parquet(f"{home}/wire")
+    starters = job.starters(spark, {"path": f"{home}/wire"}, home, ONCE, slices=2, buckets=2)
+    for _ in range(5):
+        Supervisor(spark, starters, endless=False).start().watch(seconds=240)
+    margin_rows = spark.read.schema("key STRING, value STRING, batch INT, topic STRING").parquet(f"{home}/margin/out").filter(F.col("topic") == TOPIC_MARGIN)
+    got = {r.m.account_id: r.m.total_mv for r in margin_rows.select(F.from_json("value", MARGIN).alias("m")).collect()}
+    assert got == {"a": 60.0, "b": -24.0}
+    assert spark.read.parquet(f"{home}/dead").count() == 2
+    latest = spark.read.schema("topic STRING, key STRING, value STRING, batch INT").parquet(f"{home}/volatility").collect()
+    assert {r.topic for r in latest} == {"volatility.v1"} and '"ticks":3' in latest[-1].value
+    last = spark.read.schema("topic STRING, key STRING, value STRING, batch INT").parquet(f"{home}/firm_risk").orderBy(F.desc("batch")).first()
+    assert (last.topic, '"firm_total_mv":36.0' in last.value, '"num_accounts":2' in last.value) == ("firm.risk.v1", True, True)
+    # a short account has a negative requirement, so its excess is below 0
+    acts = {(r.account_id, r.event_type) for r in spark.read.parquet(f"{home}/enforcement/actions").collect()}
+    assert acts == {("b", "MARGIN_CALL_ISSUED")}
+
+
 def test_progress(spark):
     home = work_folder(spark, "test")
     spark.createDataFrame(wire_rows(("a", 1, "f", 1, 1), ("b", 1, "g", 1, 1)), wire.MESSAGE).write.parquet(f"{home}/in")

@@ -502,6 +502,13 @@ def account_state_history(spark, root):
     )
 
 
+def owner_state_history(spark, root):
+    """The newest ten state rows over all accounts of an owner, who has one for each day of the month."""
+    owned = state_rows(spark, root).withColumn("own", F.col("account_id")).withColumn("account_id", F.expr("account_id DIV 100"))
+    newest = audit.state_rows_per_account(owned)
+    return newest.select(F.col("account_id").alias("owner"), "rn", "ts", F.col("own").alias("account_id"), "status", "last_action")
+
+
 def account_state_live(spark, root):
     now = F.lit("2024-02-15 00:00:00").cast("timestamp_ntz")
     return enforcement.live_state(state_rows(spark, root), now).select(
@@ -695,6 +702,7 @@ BATCH = {
         call_notifications,
         account_state_latest,
         account_state_history,
+        owner_state_history,
         account_state_live,
         state_lookup,
         trace_call,

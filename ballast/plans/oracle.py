@@ -688,6 +688,14 @@ def _statements() -> dict[str, str]:
                FROM state_rows WHERE rn <= 10""",
             True,
         ),
+        "owner_state_history": _ladder(
+            """SELECT owner, CAST(rn AS INTEGER) AS rn, ts, account_id, status, last_action FROM (
+                 SELECT account_id // 100 AS owner, ts, account_id, status, last_action, ROW_NUMBER() OVER (
+                     PARTITION BY account_id // 100 ORDER BY ts DESC,
+                     CASE status WHEN 'WARNING' THEN 1 WHEN 'MARGIN_CALL' THEN 2 ELSE 3 END DESC) AS rn
+                 FROM state_rows) WHERE rn <= 10""",
+            True,
+        ),
         "account_state_live": _ladder(
             """SELECT account_id, ts, status, last_action, ttl FROM state_rows
                WHERE ttl > TIMESTAMP '2024-02-15 00:00:00'""",

@@ -34,7 +34,9 @@ COVERED = 50
 #: Bytes of text after which a block of a language is closed; bytes of all open blocks of a task.
 BLOCK, OPEN = 16 << 20, 48 << 20
 #: Words of the corpus per part that streams are merged in.
-PART = 4_000_000
+PART = 1_000_000
+#: Pieces that a language's candidates are dealt to where they meet its border.
+SALTS = 64
 #: Parts in which words are numbered.
 NUMBERED = 1024
 
@@ -279,7 +281,9 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC)")
     first = found.select("lang", "score", "a").withColumn("rank", place).where(F.col("rank") <= top)
     border = first.groupBy("lang").agg(F.min(F.struct("score", "a")).alias("border"))
-    best = found.join(border, "lang").where(F.struct("score", "a") >= F.col("border")).drop("border")
+    border = border.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(SALTS)).cast("int")
+    best = found.withColumn("salt", salt).join(border, ["lang", "salt"]).where(F.struct("score", "a") >= F.col("border")).drop("border", "salt")
     spelt = words.select("number", "word")
     for k in (1, 2):
         best = best.join(spelt.select(F.col("number").alias(f"w{k}"), F.col("word").alias(f"s{k}")), f"w{k}")

@@ -32,9 +32,9 @@ LEAST, TOP = 10, 2000
 #: A longer candidate that has at least this percentage of a phrase's count replaces it.
 COVERED = 50
 #: Bytes of text after which a block of a language is closed; bytes of all open blocks of a task.
-BLOCK, OPEN = 16 << 20, 48 << 20
+BLOCK, OPEN = 8 << 20, 24 << 20
 #: Words of the corpus per part that streams are merged in.
-PART = 1_000_000
+PART = 2_000_000
 #: Pieces that a language's candidates are dealt to where they meet its border.
 SALTS = 64
 #: Parts in which words are numbered.
@@ -65,13 +65,15 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     first[border] = inside[border]
     last[border - 1] = inside[border - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    del first, last
     offsets = np.concatenate(([0], np.cumsum(end - start)))
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
     # a piece ends where a break or the end of a text lies between a word and the next
-    marks = np.concatenate((np.zeros(1, np.uint32), np.cumsum(_BREAK[raw], dtype=np.uint32)))
-    text = np.searchsorted(at, start, "right")
+    breaks = np.flatnonzero(_BREAK[raw])
     ends = np.ones(len(start), bool)
-    ends[:-1] = (marks[start[1:]] != marks[end[:-1]]) | (text[1:] != text[:-1])
+    ends[:-1] = np.searchsorted(breaks, start[1:]) != np.searchsorted(breaks, end[:-1])
+    if len(border) and len(start):  # the last word before each border
+        ends[np.maximum(np.searchsorted(start, border) - 1, 0)[np.searchsorted(start, border) > 0]] = True
     return words, ends
 
 

@@ -32,9 +32,11 @@ LEAST, TOP = 10, 2000
 #: A longer candidate that has at least this percentage of a phrase's count replaces it.
 COVERED = 50
 #: Bytes of text after which a block of a language is closed; bytes of all open blocks of a task.
-BLOCK, OPEN = 8 << 20, 24 << 20
+BLOCK, OPEN = 4 << 20, 12 << 20
 #: Words of the corpus per part that streams are merged in.
-PART = 2_000_000
+PART = 1_000_000
+#: Rows of a batch that are looked at in one go.
+ROWS = 1024
 #: Pieces that a language's candidates are dealt to where they meet its border.
 SALTS = 64
 #: Parts in which words are numbered.
@@ -96,7 +98,7 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made += 1
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in BLOCKS.split(", ")])
 
-    for batch in batches:
+    for batch in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
         coded = batch.column(0).fill_null(UNKNOWN).dictionary_encode()
         for k, lang in enumerate(coded.dictionary.to_pylist()):
             texts = batch.column(1).filter(pa.array(coded.indices.to_numpy() == k)).fill_null("").cast(pa.large_string())

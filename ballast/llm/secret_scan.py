@@ -37,8 +37,10 @@ AFTER = re.compile(STRING + r"|(?P<bare>[A-Za-z0-9/_.=$-][A-Za-z0-9+/_.=$-]*)|(?
 SIGN = re.compile(r"[=:]")
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)?$|passw|pwd|secret|token|api.?key|access.?key|private.?key|credential|auth|signature|salt|bearer|cookie|session", re.I)
 HARMLESS = re.compile(r"public|url|uri|path|file|name$|count|length|limit|type|size|max|min|version|label|hash$|digest|checksum|commit|colou?r", re.I)
-#: Characters of a value that are scored, counted over all its parts; its spans are reported whole.
-LOOK = 512
+#: Characters at either end of a value that are kept beside the numbers of all its characters: longer than any fixed placeholder.
+ENDS = 16
+#: Bits that a number of characters keeps at least.
+EXACT = 128
 PLACEHOLDER = re.compile(r"x{4,}|\*{3,}|example|sample|changeme|placeholder|your.?|dummy|test|todo|none|null|true|false|<.*>|\$\{.*\}|%\(.*\)s", re.I)
 
 
@@ -52,25 +54,69 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
-def entropy(value: str) -> float:
-    """Bits per character."""
-    n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
+def entropy(counts: Counter[str] | str) -> float:
+    """Bits per character, of a text or of the numbers of its characters."""
+    counts = Counter(counts)
+    n = sum(counts.values())
+    return -sum(c / n * math.log2(c / n) for c in counts.values() if c / n) if n else 0.0
 
 
-def score(name: str, value: str) -> float:
+def shifted(counts: Counter[str], bits: int) -> Counter[str]:
+    """The numbers without their last bits, each at least one."""
+    return Counter({c: max(n >> bits, 1) for c, n in counts.items()}) if bits else counts
+
+
+class Value:
+    """What a name stands for: how often it has each character, its ends, and the literals or earlier values it is put together from.
+
+    Values refer to their parts and hold no copies of them, so a chain of constants costs no more than its text. Scored is the
+    whole value: all that a score asks of a long one follows from its characters and ends.
+    """
+
+    __slots__ = ("counts", "head", "parts", "shift", "size", "span", "tail")
+
+    def __init__(self, text: str, span: tuple[int, int] | None = None) -> None:
+        self.size, self.head, self.tail, self.counts = len(text), text[:ENDS], text[-ENDS:], Counter(text)
+        self.span, self.parts, self.shift = span, (), 0
+
+    @classmethod
+    def of(cls, parts: list[Value]) -> Value:
+        if len(parts) == 1:
+            return parts[0]
+        one = cls("")
+        one.parts = tuple(parts)
+        one.shift = max(part.shift for part in parts)
+        for part in parts:
+            one.head = (one.head + part.head)[:ENDS]
+            one.tail = (one.tail + part.tail)[-ENDS:]
+            one.size += part.size >> one.shift - part.shift
+            one.counts.update(shifted(part.counts, one.shift - part.shift))
+        if one.size >> 2 * EXACT:  # constants doubled hundreds of times: such numbers keep their first bits
+            one.shift += EXACT
+            one.size, one.counts = one.size >> EXACT, shifted(one.counts, EXACT)
+        return one
+
+    def placeholder(self) -> bool:
+        """Is the whole value one? What is longer than its ends can only be of one character or stand in brackets."""
+        text = self.head if self.size <= ENDS else self.head[0] * 4 if len(set(map(str.lower, self.counts))) == 1 else f"{self.head}\0{self.tail}"
+        return bool(PLACEHOLDER.fullmatch(text))
+
+
+def score(name: str, value: str | Value) -> float:
     """0 to 1: how likely the value of a name is a secret."""
-    if len(value) < 8 or PLACEHOLDER.fullmatch(value) or re.search(r"\s", value):
+    value = Value(value) if isinstance(value, str) else value
+    if value.size < 8 or any(map(str.isspace, value.counts)) or value.placeholder():
         return 0.0
     total = 0.0
     if SENSITIVE.search(name):
         total += 0.5
     if HARMLESS.search(name):
         total -= 0.3
-    kinds = sum(bool(re.search(k, value)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    kinds = sum(any(map(re.compile(k).match, value.counts)) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     total += 0.1 * (kinds - 1)
-    total += 0.1 * (len(value) >= 16) + 0.1 * (len(value) >= 32)
-    total += 0.2 * (entropy(value) >= 3.0) + 0.1 * (entropy(value) >= 4.0)
+    total += 0.1 * (value.size >= 16) + 0.1 * (value.size >= 32)
+    bits = entropy(value.counts)
+    total += 0.2 * (bits >= 3.0) + 0.1 * (bits >= 4.0)
     return max(0.0, min(1.0, total))
 
 
@@ -83,30 +129,6 @@ def sign_lines(text: str) -> Iterator[tuple[int, int]]:
         yield start, at
 
 
-class Value:
-    """What a name stands for: the first LOOK characters, and the literals or earlier values it is put together from.
-
-    Values refer to their parts and hold no copies of them, so a chain of constants costs no more than its text.
-    """
-
-    __slots__ = ("parts", "span", "text")
-
-    def __init__(self, text: str, span: tuple[int, int] | None = None, parts: tuple[Value, ...] = ()) -> None:
-        self.text, self.span, self.parts = text[:LOOK], span, parts
-
-    @classmethod
-    def of(cls, parts: list[Value]) -> Value:
-        if len(parts) == 1:
-            return parts[0]
-        text, size = [], 0
-        for part in parts:
-            text.append(part.text)
-            size += len(part.text)
-            if size >= LOOK:
-                break
-        return cls("".join(text), None, tuple(parts))
-
-
 def written(values: list[Value]) -> set[tuple[int, int]]:
     """The spans of all literals in the values; each value is visited once."""
     spans, seen, open_ = set(), set(), list(values)
@@ -167,7 +189,7 @@ def secret_spans(text: str, threshold: float = 0.6) -> list[tuple[int, int, str]
     """All (start, end, kind), by start and kind: the fixed patterns and the literals that score enough."""
     found = set(base_spans(text))
     if SIGN.search(text):
-        secret = [value for name, value in literals(text) if score(name, value.text) >= threshold]
+        secret = [value for name, value in literals(text) if score(name, value) >= threshold]
         found.update((a, b, "literal") for a, b in written(secret) if b > a)
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 

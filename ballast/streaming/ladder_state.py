@@ -132,8 +132,8 @@ class LadderProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         before, seen = self._read(), {}
-        batch = joined(rows).sort_values(["ts", "event_id"])
-        at, event = (batch[c].tolist() for c in ("ts", "event_id"))
+        batch = joined(rows).sort_values(["at", "event_id"])
+        at, event = (batch[c].tolist() for c in ("at", "event_id"))
         values = [[None if x != x else x for x in batch[c].tolist()] for c in SNAPSHOT[2:]]
         for account, ts, number, thin, *rest in zip(batch["account_id"].tolist(), at, event, batch["thin"].tolist(), *values, strict=True):
             if account not in seen:
@@ -170,9 +170,10 @@ def ladder_state(
         rows = rows.filter(thin | (F.col("excess") < 0) | F.col("scenario").isNotNull())
     kind, key = snapshots.schema["ts"].dataType, rows.schema["account_id"].dataType
     last = F.lit(LAST)
+    clocked = ["ts"] if clock else []  # by this column Spark drops rows later than the watermark
     rows = rows.select(
         bucket_of("account_id", buckets=buckets), F.col("account_id").cast("string").alias("account_id"),
-        F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), last).alias("ts"), F.coalesce(F.col("event_id").cast("bigint"), last).alias("event_id"),
+        *clocked, F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), last).alias("at"), F.coalesce(F.col("event_id").cast("bigint"), last).alias("event_id"),
         *[F.col(c).cast("double").alias(c) for c in SNAPSHOT[2:]], F.coalesce(thin, F.lit(False)).alias("thin"),
     )
     moves = rows.groupBy(BUCKET).transformWithStateInPandas(LadderProcessor(params, clock), MOVES, "Update", "EventTime" if clock else "None")

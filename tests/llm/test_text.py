@@ -255,6 +255,25 @@ def test_pages(table):
     assert html_extract.extract(table([], schema)).count() == 0
 
 
+def test_suffix_ranges_choose_among_the_parts_a_page_marks(table):
+    random.seed(8)
+    words = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    cards = "".join(f"<article><p>{words(20)}</article>" for _ in range(2))
+    own, loose, shared = ([words(n) for _ in range(4)] for n in (30, 60, 40))
+    # teasers in article elements, the same on each page of the host, beside the page's own main part
+    rows = [(i, f"http://a.example/{i}", f"<main><p>{own[i]}</main>{cards}") for i in range(4)]
+    # teasers beside text that nothing marks
+    rows += [(10 + i, f"http://b.example/{i}", f"<div>{loose[i]}</div>{cards}") for i in range(4)]
+    # an article with a passage that others share, beside an unmarked line: the article, whole
+    rows += [(20 + i, f"http://c.example/{i}", f"<div>line {i}</div><article><p>{own[i]}<p>{shared[0]}</article>") for i in range(4)]
+    # an article that other pages copy whole, beside an unmarked line
+    rows += [(30 + i, f"http://d.example/{i}", f"<div>line {i}</div><article><p>{shared[1]}</article>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(table(rows, "page_id long, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == own[i] and got[10 + i] == loose[i]
+        assert got[20 + i] == f"{own[i]} {shared[0]}" and got[30 + i] == shared[1]
+
+
 def test_a_long_page_of_broken_markup():
     html = "<article>" + "<b>" * 20_000 + "text</i></section></h2>" * 50_000 + "</article>"
     start = time.time()

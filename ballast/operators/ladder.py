@@ -4,7 +4,9 @@ An account's standing only ever worsens, so its whole history follows from a
 few first moments: the first thin cushion, the first shortfall, the first
 severe stress failure, and the first shortfall more than the escalation time
 after the call. Each is a MIN over (ts, event_id), combined map-side, so an
-account with a third of all events still sends one row per task.
+account with a third of all events still sends one row per task. Only
+shortfalls are looked at a second time, and only for accounts whose last one
+comes late enough to escalate; of these, accounts with very many are spread.
 
 A state row lives for ``state_ttl_days``; an account whose last one has run
 out by the time of a snapshot starts anew. `ladder_span` walks a span no
@@ -25,7 +27,7 @@ from ballast.functions.columns import (
     percent_text,
     stable_id,
 )
-from ballast.functions.skew import lookup_join
+from ballast.functions.skew import hot_keys, lookup_join
 from ballast.params import (
     CALL_OUTSTANDING,
     DEFAULT,
@@ -41,7 +43,9 @@ from ballast.session import work_folder
 
 ACTIVE, WARNING, MARGIN_CALL, RESTRICTED = "ACTIVE", "WARNING", "MARGIN_CALL", "RESTRICTED"
 
-SNAPSHOT = ("ts", "event_id", "excess", "equity", "total_mv", "maintenance_req", "scenario", "excess_stressed")
+#: What is kept of a snapshot for an action by the margin rule, and for one by the stress rule.
+MARGIN_SNAPSHOT = ("ts", "event_id", "excess", "equity", "total_mv", "maintenance_req")
+SNAPSHOT = (*MARGIN_SNAPSHOT, "scenario", "excess_stressed")
 
 
 def _stress_failure(params: RiskParams) -> Column:
@@ -114,44 +118,49 @@ def ladder_span(
     prior: latest state per account (account_id, status,
     margin_call_issued_at, ttl) reached before these events.
     """
-    rows = judged(events, params, stress)
+    rows = judged(events, params, stress).filter(F.col("account_id").isNotNull())
     thin = is_warning(F.col("excess"), F.col("total_mv"), params)
     short = F.col("excess") < 0
     failed = F.col("scenario").isNotNull()
     rows = rows.filter(thin | short | failed)
+    shortfalls = rows.filter(short).select("account_id", *MARGIN_SNAPSHOT)
     escalation = F.expr(f"INTERVAL {int(params.escalation_minutes)} MINUTES")
+    hot = hot_keys(rows, ["account_id"], scale)
 
-    snapshot = F.struct(*SNAPSHOT)
+    kinds = {"warned": (thin, MARGIN_SNAPSHOT), "called": (short, MARGIN_SNAPSHOT), "failed": (failed, SNAPSHOT)}
 
     def firsts_of(among: Column) -> list[Column]:
-        kinds = {"warned": thin, "called": short, "failed": failed}
-        return [F.min(F.when(among & flag, snapshot)).alias(name) for name, flag in kinds.items()]
+        return [F.min(F.when(among & flag, F.struct(*kept))).alias(name) for name, (flag, kept) in kinds.items()]
 
+    last_short = F.max(F.when(short, F.col("ts"))).alias("last_short")
     if prior is None:
         firsts = rows.groupBy("account_id").agg(
             *firsts_of(F.lit(True)),
+            last_short,
             F.lit(ACTIVE).alias("status"),
             F.lit(None).cast(events.schema["ts"].dataType).alias("issued_before"),
         )
     else:
         known = prior.select("account_id", "status", F.col("margin_call_issued_at").alias("issued_before"), "ttl")
-        rows = lookup_join(rows, known, "account_id", spread=["event_id"], scale=scale)
+        rows = lookup_join(rows, known, "account_id", spread=["event_id"], scale=scale, hot=hot)
         alive = F.coalesce(F.col("ts") < F.col("ttl"), F.lit(False))
         rows = rows.filter(~alive | (F.col("status") != RESTRICTED))
         # a step before the state runs out renews it past the end of the span; without one the account starts anew
         called = F.col("status") == MARGIN_CALL
         step = failed | (short & F.when(called, F.col("ts") > F.col("issued_before") + escalation).otherwise(True))
         ages = rows.groupBy("account_id").agg(
-            F.struct(*firsts_of(F.lit(True))).alias("on"),
+            F.struct(*firsts_of(alive)).alias("on"),
             F.struct(*firsts_of(~alive)).alias("anew"),
+            last_short,
             F.bool_or(alive & step).alias("renewed"),
             F.max("status").alias("status"),
             F.max("issued_before").alias("issued_before"),
         )
-        moments = F.when(F.col("renewed"), F.col("on")).otherwise(F.col("anew"))
+        earliest = lambda name: F.when(F.col("renewed"), F.least(f"on.{name}", f"anew.{name}")).otherwise(F.col(f"anew.{name}"))
         firsts = ages.select(
             "account_id",
-            *[moments[name].alias(name) for name in ("warned", "called", "failed")],
+            *[earliest(name).alias(name) for name in kinds],
+            "last_short",
             F.when(F.col("renewed"), F.col("status")).otherwise(F.lit(ACTIVE)).alias("status"),
             F.when(F.col("renewed"), F.col("issued_before")).alias("issued_before"),
         )
@@ -169,24 +178,24 @@ def ladder_span(
         )
         .withColumn("called", F.when(uncalled & until_failure("called"), F.col("called")))
         .withColumn("issued_at", F.when(uncalled, F.col("called.ts")).otherwise(F.col("issued_before")))
-        .select("account_id", F.struct("warned", "called", "failed", "issued_at").alias("first"))
+        .select("account_id", "warned", "called", "failed", "issued_at", "last_short")
     )
     # second look at the shortfalls, now that the time of the call is known
-    stale = (
-        short
-        & (F.col("ts") > F.col("first.issued_at") + escalation)
-        & (
-            F.col("first.failed").isNull()
-            | (F.struct("ts", "event_id") <= F.struct(F.col("first.failed.ts"), F.col("first.failed.event_id")))
-        )
+    waiting = firsts.filter(F.col("last_short") > F.col("issued_at") + escalation).select(
+        "account_id", "issued_at", _at("failed").alias("failed_at"), F.col("failed").isNull().alias("unfailed")
     )
-    walked = (
-        lookup_join(
-            rows.select("account_id", *SNAPSHOT), firsts, "account_id", spread=["event_id"], how="inner", scale=scale
-        )
+    stale = (F.col("ts") > F.col("issued_at") + escalation) & (
+        F.col("unfailed") | (F.struct("ts", "event_id") <= F.col("failed_at"))
+    )
+    restricted = (
+        lookup_join(shortfalls, waiting, "account_id", spread=["event_id"], how="inner", scale=scale, hot=hot)
+        .filter(stale)
         .groupBy("account_id")
-        .agg(F.any_value("first").alias("first"), F.min(F.when(stale, snapshot)).alias("restricted"))
-        .select("account_id", "first.*", "restricted")
+        .agg(F.min(F.struct(*MARGIN_SNAPSHOT)).alias("restricted"))
+    )
+    walked = (
+        firsts.join(restricted, "account_id", "left")
+        .select("account_id", "issued_at", "warned", "called", "failed", "restricted")
         .withColumn("failed", F.when(F.col("restricted").isNull(), F.col("failed")))
     )
     return _actions(walked, params)
@@ -204,11 +213,17 @@ STEPS = {
 
 def _actions(walked: DataFrame, params: RiskParams) -> DataFrame:
     severe = -F.col("restricted.excess") > F.col("restricted.maintenance_req") * F.lit(params.liquidation_share)
+    def in_full(at: Column) -> Column:
+        none = F.lit(None).cast("double")
+        parts = [*(at[c].alias(c) for c in MARGIN_SNAPSHOT), none.alias("scenario"), none.alias("excess_stressed")]
+        return F.when(at.isNotNull(), F.struct(*parts))
+
+    warned, called, restricted = (in_full(F.col(c)) for c in ("warned", "called", "restricted"))
     moments = {
-        "WARNING_ISSUED": F.col("warned"),
-        "MARGIN_CALL_ISSUED": F.col("called"),
-        "RESTRICTION_APPLIED": F.col("restricted"),
-        "LIQUIDATION_TRIGGERED": F.when(severe, F.col("restricted")),
+        "WARNING_ISSUED": warned,
+        "MARGIN_CALL_ISSUED": called,
+        "RESTRICTION_APPLIED": restricted,
+        "LIQUIDATION_TRIGGERED": F.when(severe, restricted),
         "STRESS_RESTRICTION": F.col("failed"),
     }
     steps = F.array(*[F.struct(F.lit(kind).alias("event_type"), at.alias("at")) for kind, at in moments.items()])

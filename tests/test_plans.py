@@ -6,7 +6,9 @@ import re
 
 import pytest
 
+from ballast.operators.ladder import ladder_span, latest_state, state_history
 from ballast.plans import catalog
+from ballast.sources import tables
 from tests.conftest import SF
 
 
@@ -59,6 +61,19 @@ def test_weights_reuse_the_valued_positions(spark, no_broadcast):
     assert "ReusedExchange" in plan(df)
 
 
+def spread_for_all(text: str) -> list[str]:
+    """Places of a plan where every key of a lookup is multiplied by the salts, not only hot ones."""
+    return [line for line in text.split("\n") if re.search(r"Generate explode.*_salt", line) and "_hot" not in line]
+
+
+@pytest.mark.parametrize("stress", [False, True])
+def test_first_moments_of_all_accounts_are_not_multiplied(spark, no_broadcast, stress):
+    events = tables.margin_events(spark, SF)
+    known = latest_state(state_history(ladder_span(events, stress=stress)))
+    for prior in (None, known):
+        assert not spread_for_all(plan(ladder_span(events, stress=stress, prior=prior)))
+
+
 def test_a_message_is_parsed_once(spark):
     text = catalog.BATCH["decode_events"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json") == 1 and "try_parse_json" not in text

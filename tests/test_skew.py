@@ -14,6 +14,7 @@ from ballast.operators import history, liquidation, positions
 from ballast.operators.asof import as_of
 from ballast.params import Scale
 from tests.conftest import rows
+from tests.test_plans import plan
 
 HOT = Scale(hot_rows=8, salts=4)
 T0 = datetime(2024, 1, 1)
@@ -50,6 +51,19 @@ def test_returns(ticks):
     assert rounded(history.price_returns(ticks, scale=HOT), "return") == rounded(want, "return")
 
 
+def test_only_hot_keys_are_spread(ticks, no_broadcast):
+    """A lookup as long as the list of keys is not shuffled once for every salt."""
+    nobody = ticks.limit(3).withColumn("symbol", F.lit(None).cast("string"))
+    left = ticks.unionByName(nobody)
+    names = ticks.select("symbol").distinct().withColumn("name", F.concat(F.lit("n"), "symbol")).filter("symbol <> 'S7'")
+    hot = hot_keys(ticks, ["symbol"], Scale(hot_rows=100))
+    for how in ("left", "inner", "left_semi"):
+        got = lookup_join(left, names, "symbol", spread=["seq"], how=how, scale=HOT, hot=hot)
+        assert rows(got) == rows(left.join(names, "symbol", how))
+    spreading = lambda df: [line for line in plan(df).split("\n") if "Generate explode" in line]
+    assert spreading(got) and all("_hot" in line for line in spreading(got))  # not every key four times
+
+
 def test_rolling_volatility(ticks):
     plain = Window.partitionBy("symbol").orderBy(*ORDER)
     want = ticks.withColumn(

@@ -50,14 +50,16 @@ def value_positions(
     missing: str = "zero",
     params: RiskParams = DEFAULT,
     scale: Scale = SCALE,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Market value and beta-weighted value of every position.
 
     missing: "zero" values an unpriced position at the default price and an
     unrated one at the default beta; "null" leaves both unknown, which sums
     skip; "fill_price" falls back to the position's own ``fill_price``.
+    hot: symbols with very many positions, see `lookup_join`.
     """
-    joined = lookup_join(positions, symbol_marks, "symbol", spread=["account_id"], scale=scale)
+    joined = lookup_join(positions, symbol_marks, "symbol", spread=["account_id"], scale=scale, hot=hot)
     price, beta = {
         "zero": (f"coalesce(price, {params.default_price!r}D)", f"coalesce(beta, {params.default_beta!r}D)"),
         "null": ("price", "beta"),

@@ -74,6 +74,10 @@ def test_first_moments_of_all_accounts_are_not_multiplied(spark, no_broadcast, s
         assert not spread_for_all(plan(ladder_span(events, stress=stress, prior=prior)))
 
 
+def test_symbols_of_displayed_events_are_not_multiplied(spark, no_broadcast):
+    assert not spread_for_all(plan(catalog.event_display_line(spark, SF)))
+
+
 def test_a_message_is_parsed_once(spark):
     text = catalog.BATCH["decode_events"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json") == 1 and "try_parse_json" not in text
